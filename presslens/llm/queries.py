@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import encode
+from presslens.llm import encode, leaks
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a callable of (spark, sf_dir)."""
     return {
         "p8_ids": encode.p8_ids,
+        "p9_found": leaks.p9_found,
     }
 
 
