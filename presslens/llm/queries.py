@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import encode, leaks
+from presslens.llm import encode, leaks, personal
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p8_ids": encode.p8_ids,
         "p9_found": leaks.p9_found,
+        "p10_found": personal.p10_found,
+        "p10_redacted": personal.p10_redacted,
     }
 
 
