@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import encode, leaks, personal
+from presslens.llm import encode, garbled, leaks, personal
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a callable of (spark, sf_dir)."""
     return {
+        "p1_found": garbled.p1_found,
+        "p1_restored": garbled.p1_restored,
         "p8_ids": encode.p8_ids,
         "p9_found": leaks.p9_found,
         "p10_found": personal.p10_found,
