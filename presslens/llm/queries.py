@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import encode, garbled, leaks, personal
+from presslens.llm import encode, garbled, leaks, lookalikes, personal
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": garbled.p1_found,
         "p1_restored": garbled.p1_restored,
+        "p7_found": lookalikes.p7_found,
+        "p7_plain": lookalikes.p7_plain,
         "p8_ids": encode.p8_ids,
         "p9_found": leaks.p9_found,
         "p10_found": personal.p10_found,
