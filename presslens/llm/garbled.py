@@ -66,11 +66,14 @@ def _encode(text: str, codec: str) -> bytes | None:
 
 
 def _pairs() -> list[tuple[str, str]]:
+    """Per codec, first and later characters of split sequences; pairs with a foreign character are told by that alone."""
+    usual = set(LETTERS + SIGNS) | set(map(chr, [*range(0x391, 0x3AA), *range(0x3B1, 0x3CA)]))
     out = []
     for codec in WIDE:
-        lead = "".join(c for c, b in _bytes_of(codec).items() if 0xC2 <= b <= 0xF4 and ord(c) > 127)
-        follow = "".join(c for c, b in _bytes_of(codec).items() if 0x80 <= b <= 0xBF and ord(c) > 127)
-        out.append((lead, follow))
+        lead = "".join(c for c, b in _bytes_of(codec).items() if 0xC2 <= b <= 0xF4 and c in usual)
+        follow = "".join(c for c, b in _bytes_of(codec).items() if 0x80 <= b <= 0xBF and c in usual)
+        if lead and follow:
+            out.append((lead, follow))
     return out
 
 
@@ -83,18 +86,19 @@ def _patterns(java: bool) -> str:
     greek = r"\x{391}-\x{3A9}\x{3B1}-\x{3C9}" if java else "Α-Ωα-ω"
     ascii_ = r"\x{0}-\x{7F}" if java else "\x00-\x7f"
     latin = r"\x{A1}-\x{FF}" if java else "¡-ÿ"
-    return rf"[^{ascii_}{greek}{_class(LETTERS + SIGNS, java)}]|{pairs}|[{latin}]{{3}}"
+    # The look-ahead spares plain characters the long classes.
+    return rf"(?=[^{ascii_}])(?:[^{ascii_}{greek}{_class(LETTERS + SIGNS, java)}]|{pairs}|[{latin}]{{3}})"
 
 
 #: What a value must contain to be judged at all; tests hold that it loses no restorable value.
 SUSPICIOUS_JAVA = _patterns(java=True)
 _SUSPICIOUS = re.compile(_patterns(java=False))
-_FOREIGN = re.compile(_patterns(java=False).split("]|", 1)[0] + "]")
+_FOREIGN = re.compile(_patterns(java=False).split("]|", 1)[0].split("(?:", 1)[1] + "]")
 _SIGN_KINDS = ("So", "Sm", "Sc", "Sk", "Po", "No", "Lm", "Cc", "Pc", "Pe", "Ps")
 _MIXED = re.compile(r"[A-Za-zÀ-ɏ][\u0370-\u04ff]|[\u0370-\u04ff][A-Za-zÀ-ɏ]")
 #: Rows with these stay out of the dictionaries: foreign characters, and the usual first halves of split characters.
-_UNCLEAN_JAVA = SUSPICIOUS_JAVA.split("]|", 1)[0] + r"]|[ÂÃÎÏÄÅĂРС][^\x{0}-\x{7F}]"
-_PAIR = re.compile("|".join(f"[{_class(a, False)}][{_class(b, False)}]" for a, b in _pairs()))
+_UNCLEAN_JAVA = SUSPICIOUS_JAVA.split("]|", 1)[0] + r"]|[ÂÃÎÏÄÅĂРС][^\x{0}-\x{7F}])"
+_LATIN_RUN = re.compile(r"[À-ÿ]{2}")
 _ALL_LATIN = re.compile(r"[^\w\s]*[À-ÿ]{2,}[^\w\s]*$")
 
 
@@ -107,7 +111,7 @@ class Restorer:
     """Judges texts with the dictionaries of all languages."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.packers = []
+        self.packers, self.known = [], {}
         for content in dictionaries.values():
             if len(content) >= 8:
                 d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -135,6 +139,7 @@ class Restorer:
     @staticmethod
     def steps(text: str) -> Iterator[tuple[str, float]]:
         """Every text that one step of a chain can lead to, with the step's cost."""
+        clean = False
         for codec in WIDE:
             raw = _encode(text, codec)
             if raw is None:
@@ -146,7 +151,10 @@ class Restorer:
                 if 2 * out.count("�") > sum(ord(c) > 127 for c in out):
                     continue
             if out != text:
+                clean |= cost == COST_WIDE
                 yield out, cost
+        if clean or not (_FOREIGN.search(text) or _LATIN_RUN.search(text)):
+            return  # a text that reads as split sequences throughout, or has no sign of a single-byte mix-up
         for wrong, right in NARROW:
             raw = _encode(text, wrong)
             if raw is None:
@@ -170,13 +178,20 @@ class Restorer:
                         continue  # only clean multi-byte steps are ever repeated
                     if out != text and c + cost < found.get(out, 1e9):
                         found[out] = nxt[out] = c + cost
-            level = {t: c for t, c in nxt.items() if _PAIR.search(t)}
+            level = {t: c for t, c in nxt.items() if _SUSPICIOUS.search(t)}
             if not level:
                 break
         return found
 
     def restore(self, text: str) -> tuple[str, bool]:
         """(text as the source wrote it as far as it can be told, whether it was garbled)."""
+        if (known := self.known.get(text)) is None:
+            if len(self.known) >= 20_000:  # a memory bound; names of sources come again and again
+                self.known.clear()
+            known = self.known[text] = self._restore(text)
+        return known
+
+    def _restore(self, text: str) -> tuple[str, bool]:
         damaged = "�" in text
         if not _SUSPICIOUS.search(text):
             return text, damaged
@@ -216,11 +231,11 @@ def _restorer(packed: tuple[tuple[str, bytes], ...]) -> Restorer:
 
 
 def fit_dictionaries(items: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[tuple[str, bytes], ...]:
-    """Dictionary content of each language from at most ``rows`` labelled, unsuspicious rows of it."""
-    clean = items.select("id", "lang", "title", "summary", "source_name").where(F.col("lang").isin(*LANGUAGES))
-    text = F.concat_ws("\n", "summary", "title", "source_name")
-    ranked = clean.where(~text.rlike(_UNCLEAN_JAVA)).select("lang", text.alias("text"), F.xxhash64("id").alias("h"))
-    ranked = ranked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("n") <= rows)
+    """Dictionary content of each language from its ``rows`` labelled rows of smallest hash, without the unclean ones."""
+    text = F.concat_ws("\n", "summary", "title", "source_name").alias("text")
+    labelled = items.where(F.col("lang").isin(*LANGUAGES)).select("lang", text, F.xxhash64("id").alias("h"))
+    # the rank limit is pushed below the shuffle, so only the sample moves and only the sample is searched
+    ranked = labelled.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("n") <= rows).where(~F.col("text").rlike(_UNCLEAN_JAVA))
     by: dict[str, list[str]] = {}
     for r in sorted(ranked.select("lang", "n", "text").collect()):
         by.setdefault(r[0], []).append(r[2])
