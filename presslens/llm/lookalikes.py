@@ -92,6 +92,17 @@ def _compiled() -> tuple[re.Pattern, re.Pattern]:
     return re.compile(rf"(?:[^\W_]|[{marks}­​-‏⁠-⁤﻿])+"), re.compile(rf".[{marks}]+|[{singles}]", re.S)
 
 
+@lru_cache(1)
+def _triggers() -> frozenset[str]:
+    marks = [*range(0x300, 0x370), *range(0x483, 0x488), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x2100), *range(0xFE20, 0xFE30)]
+    return frozenset([*mapping(), *map(chr, marks)])
+
+
+def has_clusters(text: str) -> bool:
+    """Whether a text holds anything that the cluster transducer changes."""
+    return not text.isascii() and not _triggers().isdisjoint(text)
+
+
 #: Java pattern of what can change at all: anything but plain characters, and letters of two scripts side by side.
 CHANGEABLE_JAVA = (
     r"(?=[^\x{0}-\x{7F}])(?:[^\x{0}-\x{7F}\x{A1}-\x{A9}\x{AB}\x{AC}\x{AE}-\x{B1}\x{B4}\x{B6}\x{B7}\x{BB}\x{BF}-\x{131}\x{134}-\x{13E}\x{141}-\x{148}\x{14A}-\x{17E}\x{370}-\x{3CF}\x{400}-\x{482}\x{48A}-\x{4FF}\x{2010}-\x{2027}\x{20AC}]"
@@ -137,7 +148,7 @@ def plain(text: str) -> tuple[str, bool]:
         found |= mixed
         return out
 
-    out = clusters.sub(cluster, text)
+    out = clusters.sub(cluster, text) if has_clusters(text) else text
     return words.sub(word, out), found
 
 
