@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import encode, garbled, language, leaks, lookalikes, personal, truncated
+from presslens.llm import encode, garbled, history, language, leaks, lookalikes, personal, truncated
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_restored": garbled.p1_restored,
         "p3_found": truncated.p3_found,
         "p3_sources": truncated.p3_sources,
+        "p4_found": history.p4_found,
         "p5_found": language.p5_found,
         "p5_languages": language.p5_languages,
         "p7_found": lookalikes.p7_found,
