@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from presslens.operators import lateness, timestamps
+from presslens.plans import core_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a callable of (spark, sf_dir)."""
-    return {
+    return core_queries.Q | {
         "p2_found": lateness.p2_found,
         "p2_revisions": lateness.p2_revisions,
         "p6_found": timestamps.p6_found,
@@ -21,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL over the same tables."""
-    return {}
+    return dict(core_queries.SQL)
