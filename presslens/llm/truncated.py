@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.session import table
+from presslens.session import cut, table
 
 #: Occurrences that make a trigram known, and the share of terminal ones under which it counts as never terminal.
 LEAST_SEEN, TERMINAL_SHARE = 3, 0.1
@@ -59,19 +59,19 @@ TOKENS = r"""
 #: How often each word followed two others inside a text, and how often as the last before a stop or the end. The end
 #: of a text that is as long as its source allows says nothing.
 COUNTS = """
-    SELECT g.k AS k, g.c AS c, sum(CASE WHEN g.t THEN 0 ELSE 1 END) AS n_inside, sum(CASE WHEN g.t THEN 1 ELSE 0 END) AS n_terminal
-    FROM (SELECT explode(transform(sequence(2, size(w) - if(at_limit, 2, 1)), i -> named_struct(
-                     'k', xxhash64(field, w[i - 2], w[i - 1]), 'c', w[i], 't', coalesce(get(w, i + 1), '</s>') = '</s>'))) AS g
-          FROM {tokens} WHERE NOT marked AND size(w) > if(at_limit, 3, 2))
-    WHERE g.c <> '</s>'
+    SELECT k, c, sum(CASE WHEN t THEN 0 ELSE 1 END) AS n_inside, sum(CASE WHEN t THEN 1 ELSE 0 END) AS n_terminal
+    FROM (SELECT xxhash64(field, a, b) AS k, c, coalesce(d, '</s>') = '</s>' AS t
+          FROM (SELECT field, at_limit, inline(arrays_zip(w, slice(w, 2, size(w)), slice(w, 3, size(w)), slice(w, 4, size(w)))) AS (a, b, c, d)
+                FROM {tokens} WHERE NOT marked AND size(w) > 2)
+          WHERE c <> '</s>' AND NOT (at_limit AND d IS NULL))
     GROUP BY 1, 2
 """
 
 #: Final trigrams of texts without mark and stop, and the trigram of the last two words and the first one.
 FINALS = """
-    SELECT id, field, w[size(w) - 1] AS c, xxhash64(field, w[size(w) - 3], w[size(w) - 2]) AS k,
+    SELECT id, field, marked, w[size(w) - 1] AS c, xxhash64(field, w[size(w) - 3], w[size(w) - 2]) AS k,
            xxhash64(field, w[size(w) - 2], w[size(w) - 1]) AS k_around, w[2] AS c_around
-    FROM {tokens} WHERE NOT marked AND size(w) > 2 AND w[size(w) - 1] <> '</s>'
+    FROM {tokens} WHERE size(w) > 2 AND (marked OR w[size(w) - 1] <> '</s>')
 """
 
 #: Endings of names that are usual: at most 1 / USUAL_ENDING rows.
@@ -81,7 +81,7 @@ ENDINGS = """
 
 #: Final trigrams that are never terminal, and final words that are the beginning of a usual word of their place.
 CUT = r"""
-    WITH seen AS (SELECT f.*, coalesce(n.n_inside, 0) AS n_inside, coalesce(n.n_terminal, 0) AS n_terminal FROM {finals} f LEFT JOIN {counts} n ON f.k = n.k AND f.c = n.c),
+    WITH seen AS (SELECT f.*, coalesce(n.n_inside, 0) AS n_inside, coalesce(n.n_terminal, 0) AS n_terminal FROM {finals} f LEFT JOIN {counts} n ON f.k = n.k AND f.c = n.c WHERE NOT f.marked),
     open AS (
         SELECT * FROM seen WHERE n_inside >= {least} AND n_terminal < {share} * (n_inside + n_terminal)
         UNION ALL
@@ -92,7 +92,7 @@ CUT = r"""
         SELECT u.* FROM seen u LEFT ANTI JOIN {endings} e ON u.c = e.c
         LEFT SEMI JOIN {counts} m ON u.k = m.k AND m.c <> u.c AND m.c LIKE '~%' AND m.n_inside + m.n_terminal >= 5 * (u.n_inside + u.n_terminal) AND m.n_inside + m.n_terminal >= {least}
         WHERE u.n_inside < {least} AND u.c RLIKE r'^~\p{{L}}{{0,3}}$')
-    SELECT id, field FROM {tokens} WHERE marked
+    SELECT id, field FROM {finals} WHERE marked
     UNION
     SELECT o.id, o.field FROM open o
     LEFT ANTI JOIN (SELECT k, c FROM {counts} WHERE n_inside >= {least}) r ON o.k_around = r.k AND o.c_around = r.c
@@ -103,8 +103,9 @@ def find_cut(spark: SparkSession, items: DataFrame, least: int = LEAST_SEEN, sha
     """(id, field) of every cut title and summary, distinct."""
     cells = spark.sql(CELLS, items=items.select("id", "source_domain", "title", "summary"))
     tokens = spark.sql(TOKENS, cells=cells, limits=spark.sql(LIMITS, cells=cells))
-    counts = spark.sql(COUNTS, tokens=tokens)
-    return spark.sql(CUT, tokens=tokens, counts=counts, finals=spark.sql(FINALS, tokens=tokens), endings=spark.sql(ENDINGS, counts=counts, usual=USUAL_ENDING), least=least, share=share)
+    # both are read several times below and are small next to the texts
+    counts, finals = cut(spark.sql(COUNTS, tokens=tokens)), cut(spark.sql(FINALS, tokens=tokens))
+    return spark.sql(CUT, counts=counts, finals=finals, endings=spark.sql(ENDINGS, counts=counts, usual=USUAL_ENDING), least=least, share=share)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
