@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from presslens.operators import lateness, timestamps
-from presslens.plans import core_queries
+from presslens.plans import core_queries, curation_queries  # noqa: F401  (registers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
