@@ -28,6 +28,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = "list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: w)"
+_GRAMS = "unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS g"
+_KEY = r"""regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^((www|m|amp)\.)+', '') || regexp_replace(regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/{2,}', '/', 'g'), '(/amp|/index\.html|/)+$', '')
+    || '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(string_split(p, '=')[1], '^utm_|^(fbclid|gclid|ref|oc)$'))), '&')"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL over the same tables."""
-    return {}
+    return {
+        "p4_found": f"""WITH i AS (SELECT DISTINCT id, canonical_url, title_key FROM items),
+            u AS (SELECT id, {_KEY} AS k FROM (SELECT id, regexp_replace(regexp_replace(trim(canonical_url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM i)),
+            t AS (SELECT id, list_distinct(list_filter(string_split(title_key, ' '), lambda x: x <> '')) AS w FROM i), s AS (SELECT id, w, len(w) AS n FROM t WHERE len(w) >= 4),
+            e AS (SELECT id, n, unnest(w) AS x FROM s), c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS n, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2)
+            SELECT id_a, id_b FROM c WHERE n >= 0.6 * (na + nb - n) UNION SELECT a.id, b.id FROM u a JOIN u b ON a.k = b.k AND a.id < b.id""",
+        "p9_found": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), e AS (SELECT eval_id, {_WORDS} AS w FROM eval_items),
+            dg AS (SELECT doc_id, {_GRAMS} FROM d), eg AS (SELECT eval_id, {_GRAMS} FROM e) SELECT DISTINCT doc_id, eval_id FROM dg JOIN eg USING (g)""",
+    }
