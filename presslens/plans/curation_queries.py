@@ -334,8 +334,8 @@ _STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
     x AS (SELECT pn.scope, i.id, coalesce(i.title_key, '') AS key, list_distinct(list_filter(string_split(coalesce(i.title_key, ''), ' '), lambda w: length(w) > 2 AND w NOT IN ({_STOP}))) AS toks FROM i JOIN pn ON pn.id = i.id AND pn.rk = 1),
     p AS (SELECT b.scope, b.id, max(a.id) AS parent FROM x b JOIN x a ON a.scope = b.scope AND a.id < b.id AND ((a.key = b.key AND b.key <> '') OR (len(a.toks) >= 4 AND len(b.toks) >= 4 AND len(list_intersect(a.toks, b.toks)) >= 0.6 * len(list_distinct(list_concat(a.toks, b.toks))))) GROUP BY 1, 2),
     f AS (SELECT x.scope, x.id, p.parent FROM x LEFT JOIN p ON p.scope = x.scope AND p.id = x.id),
-    r(scope, id, at) AS (SELECT scope, id, id FROM f UNION ALL SELECT r.scope, r.id, f.parent FROM r JOIN f ON f.scope = r.scope AND f.id = r.at WHERE f.parent IS NOT NULL)
-    SELECT scope, id, min(at) AS cluster FROM r GROUP BY 1, 2""")
+    r(scope, id, up) AS (SELECT scope, id, id FROM f UNION ALL SELECT r.scope, r.id, f.parent FROM r JOIN f ON f.scope = r.scope AND f.id = r.up WHERE f.parent IS NOT NULL)
+    SELECT scope, id, min(up) AS cluster FROM r GROUP BY 1, 2""")
 def c17(spark, sf):
     """Cluster of every item among the items of its primary name: the root of the pointer forest."""
     m = table(spark, sf, "matches").groupBy("item_id", "name_id").agg(F.max("confidence").alias("confidence"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from presslens.operators import lateness, timestamps
-from presslens.plans import core_queries, curation_queries  # noqa: F401  (registers)
+from presslens.plans import core_queries, time_sql
+from presslens.plans import curation_queries  # noqa: F401  (registers its queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL over the same tables."""
-    return dict(core_queries.SQL)
+    return core_queries.SQL | time_sql.SQL
