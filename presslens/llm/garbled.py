@@ -34,7 +34,7 @@ FIELDS = ("title", "summary", "source_name")
 WIDE = ("cp1252", "iso8859-15", "mac-roman", "cp1250", "cp1251", "cp1253", "cp850", "cp437", "iso8859-2", "iso8859-7")
 NARROW = [(w, r) for w in ("cp1252", "mac-roman", "cp850", "cp437", "cp1251", "cp1250") for r in ("cp1252", "cp1250", "cp1253", "iso8859-2") if w != r]
 #: Description length in bytes of naming a step of either kind.
-COST_WIDE, COST_NARROW, COST_LOSS = 1.0, 2.0, 2.0
+COST_WIDE, COST_NARROW, COST_LOSS = 1.0, 2.0, 3.0
 #: Description length of a character that a chain brings in and no language of the corpus writes.
 COST_FOREIGN = 4.0
 
@@ -147,7 +147,8 @@ class Restorer:
             try:
                 out, cost = raw.decode("utf-8"), COST_WIDE
             except UnicodeDecodeError:
-                out, cost = raw.decode("utf-8", "replace"), COST_WIDE + COST_LOSS
+                out = raw.decode("utf-8", "replace")
+                cost = COST_WIDE + COST_LOSS * out.count("�")
                 if 2 * out.count("�") > sum(ord(c) > 127 for c in out):
                     continue
             if out != text:
@@ -196,7 +197,7 @@ class Restorer:
         if not _SUSPICIOUS.search(text):
             return text, damaged
         parts = re.split(r"( )", text)
-        flagged = [i for i, p in enumerate(parts) if p != " " and "�" not in p and (_SUSPICIOUS.search(p) or _ALL_LATIN.match(p))]
+        flagged = [i for i, p in enumerate(parts) if "�" not in p and any(map(str.isalpha, p)) and (_SUSPICIOUS.search(p) or _ALL_LATIN.match(p))]
         if not flagged:
             return text, damaged
         best, least = text, self.length(text) + self.foreign(text)
@@ -214,14 +215,19 @@ class Restorer:
             total = self.length(out) + cost + self.foreign(out, text)
             if total < least:
                 best, least = out, total
-        if best == text and len(flagged) > 1:  # words damaged in different ways are judged one by one
+        if len(flagged) > 1 and (best == text or best.count("�") > text.count("�") or _SUSPICIOUS.search(best)):
+            # words damaged in different ways, or some of them not at all, are judged one by one
+            now, spent = self.length(text) + self.foreign(text), 0.0
             for i in flagged:
+                options = []
                 for out, cost in self.chains(parts[i]).items():
                     whole = "".join(parts[:i] + [out] + parts[i + 1 :])
-                    total = self.length(whole) + cost + self.foreign(whole, text)
-                    if total < least:
-                        best, least, parts = whole, total, parts[:i] + [out] + parts[i + 1 :]
-                        break
+                    options.append((self.length(whole) + self.foreign(whole, text) + cost + spent, cost, out))
+                if options and min(options)[0] < now:
+                    now, cost, parts[i] = min(options)
+                    spent += cost
+            if now < least:
+                best, least = "".join(parts), now
         return best, damaged or best != text
 
 
