@@ -330,18 +330,34 @@ def u5(spark, sf):
 _STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
 
 
-@query("c17_clusters", f"""WITH RECURSIVE {ITEMS}, {MATCHES}, pn AS (SELECT item_id AS id, name_id AS scope, row_number() OVER (PARTITION BY item_id ORDER BY c DESC, name_id) AS rk FROM (SELECT item_id, name_id, max(confidence) AS c FROM m GROUP BY 1, 2)),
-    x AS (SELECT pn.scope, i.id, coalesce(i.title_key, '') AS key, list_distinct(list_filter(string_split(coalesce(i.title_key, ''), ' '), lambda w: length(w) > 2 AND w NOT IN ({_STOP}))) AS toks FROM i JOIN pn ON pn.id = i.id AND pn.rk = 1),
-    p AS (SELECT b.scope, b.id, max(a.id) AS parent FROM x b JOIN x a ON a.scope = b.scope AND a.id < b.id AND ((a.key = b.key AND b.key <> '') OR (len(a.toks) >= 4 AND len(b.toks) >= 4 AND len(list_intersect(a.toks, b.toks)) >= 0.6 * len(list_distinct(list_concat(a.toks, b.toks))))) GROUP BY 1, 2),
-    f AS (SELECT x.scope, x.id, p.parent FROM x LEFT JOIN p ON p.scope = x.scope AND p.id = x.id),
-    r(scope, id, up) AS (SELECT scope, id, id FROM f UNION ALL SELECT r.scope, r.id, f.parent FROM r JOIN f ON f.scope = r.scope AND f.id = r.up WHERE f.parent IS NOT NULL)
-    SELECT scope, id, min(up) AS cluster FROM r GROUP BY 1, 2""")
+_TOKS = f"list_distinct(list_filter(string_split(coalesce(i.title_key, ''), ' '), lambda w: length(w) > 2 AND w NOT IN ({_STOP})))"
+_AT = "at_ AS (SELECT DISTINCT id, epoch_us(started_at) // 1000000 AS t FROM runs)"
+
+
+@query("c17_clusters", f"""WITH RECURSIVE {ITEMS}, {MATCHES}, {_AT}, pn AS (SELECT item_id AS id, name_id AS scope, row_number() OVER (PARTITION BY item_id ORDER BY c DESC, name_id) AS rk FROM (SELECT item_id, name_id, max(confidence) AS c FROM m GROUP BY 1, 2)),
+    x AS (SELECT d.name_id AS scope, i.id, coalesce(i.title_key, '') AS key, {_TOKS} AS toks, at_.t, row_number() OVER (PARTITION BY d.name_id ORDER BY i.id) AS place FROM i JOIN (SELECT DISTINCT item_id, name_id FROM m) d ON d.item_id = i.id JOIN at_ ON at_.id = i.run_id),
+    p AS (SELECT b.id, max(a.id) AS parent FROM pn JOIN x b ON b.id = pn.id AND b.scope = pn.scope AND pn.rk = 1 JOIN x a ON a.scope = b.scope AND a.id < b.id AND b.t - a.t <= 259200 AND b.place - a.place <= 1999
+          AND ((a.key = b.key AND b.key <> '') OR (len(a.toks) >= 4 AND len(b.toks) >= 4 AND len(list_intersect(a.toks, b.toks)) >= 0.6 * len(list_distinct(list_concat(a.toks, b.toks))))) GROUP BY 1),
+    f AS (SELECT pn.id, p.parent FROM pn JOIN i ON i.id = pn.id LEFT JOIN p ON p.id = pn.id WHERE pn.rk = 1),
+    r(id, up) AS (SELECT id, id FROM f UNION ALL SELECT r.id, f.parent FROM r JOIN f ON f.id = r.up WHERE f.parent IS NOT NULL)
+    SELECT id, min(up) AS cluster FROM r GROUP BY 1""")
 def c17(spark, sf):
-    """Cluster of every item among the items of its primary name: the root of the pointer forest."""
+    """Cluster of every item: the root of the pointer forest over the items matched to its primary name."""
     m = table(spark, sf, "matches").groupBy("item_id", "name_id").agg(F.max("confidence").alias("confidence"))
-    p = matching.primary_name(m).select(F.col("item_id").alias("id"), F.col("name_id").alias("scope"))
-    keyed = ledger.items(spark, sf, "title_key").join(p, "id").select("scope", "id", F.coalesce("title_key", F.lit("")).alias("key"), T.tokens(F.coalesce("title_key", F.lit(""))).alias("toks"))
-    return clusters.roots(clusters.pointers(keyed))
+    runs = _runs(spark, sf).select(F.col("id").alias("run_id"), F.unix_seconds(F.col("started_at").cast("timestamp")).alias("at"))
+    i = ledger.items(spark, sf, "title_key", "run_id").join(runs, "run_id").select("id", F.coalesce("title_key", F.lit("")).alias("key"), T.tokens(F.coalesce("title_key", F.lit(""))).alias("toks"), "at")
+    primary = matching.primary_name(m).select(F.col("item_id").alias("id"), F.col("name_id").alias("scope")).join(i.select("id"), "id", "left_semi")
+    return clusters.roots(clusters.pointers(m.select(F.col("name_id").alias("scope"), F.col("item_id").alias("id")).join(i, "id"), primary))
+
+
+@query("j10_republished", f"""WITH {ITEMS}, {_AT}, x AS (SELECT i.id, {_TOKS} AS toks, list_sort(list_distinct(regexp_extract_all(i.title_key, '[0-9]+'))) AS nums, at_.t FROM i JOIN at_ ON at_.id = i.run_id), y AS (SELECT *, unnest(toks) AS tok FROM x WHERE len(toks) >= 5),
+    c AS (SELECT a.id AS a, b.id AS b, count(*) AS n, any_value(len(a.toks)) AS na, any_value(len(b.toks)) AS nb, any_value(a.t) AS ta FROM y a JOIN y b ON a.tok = b.tok AND a.nums = b.nums AND b.t - a.t BETWEEN 259200 AND 12960000 GROUP BY 1, 2)
+    SELECT b AS id, arg_min(a, ta * 10000000 + a) AS first_id FROM c WHERE n >= 0.85 * (na + nb - n) GROUP BY 1""")
+def j10(spark, sf):
+    """Headlines that come again after three days or more, with the first of them."""
+    runs = _runs(spark, sf).select(F.col("id").alias("run_id"), F.unix_seconds(F.col("started_at").cast("timestamp")).alias("at"))
+    i = ledger.items(spark, sf, "title_key", "run_id").join(runs, "run_id")
+    return clusters.republished(i.select("id", F.coalesce("title_key", F.lit("")).alias("key"), T.tokens(F.coalesce("title_key", F.lit(""))).alias("toks"), "at"))
 
 
 @query("c18_page_visits", f"WITH {ITEMS}, f AS (SELECT source_domain, canonical_url, min(run_id) AS first_run FROM i WHERE route = 'page' GROUP BY 1, 2), v AS (SELECT source_domain, min(first_run) AS seed FROM f GROUP BY 1) SELECT f.source_domain, f.first_run AS run_id, count(*) AS n_new FROM f JOIN v USING (source_domain) WHERE f.first_run > v.seed GROUP BY 1, 2")
