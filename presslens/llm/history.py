@@ -169,15 +169,26 @@ def replay(rows: pa.Table) -> pa.Table:
     return pa.table({"kind": pa.array(pairs[:, 0].astype(np.int16)), "a": pa.array(pairs[:, 1]), "b": pa.array(pairs[:, 2]), "coverage": pa.array(coverage)})
 
 
-def near_pairs(items: DataFrame) -> DataFrame:
-    """(id_a, id_b) of all items of the same page or with a near-equal key; ``items`` has id, canonical_url, title_key, run_id."""
-    spark = items.sparkSession
+def _records(items: DataFrame) -> DataFrame:
+    """(id, batch, page, words) of each item once: hashes of the page and of the distinct words, null where there is none."""
     words = F.array_sort(F.transform(F.array_distinct(F.filter(F.split("title_key", " "), lambda w: w != "")), lambda w: F.xxhash64(w)))
     page = page_key(F.col("canonical_url"))
     base = items.where(F.col("id").isNotNull()).select(
         "id", F.coalesce("run_id", F.lit(0).cast("bigint")).alias("batch"), F.when(page.isNotNull(), F.array(F.xxhash64(page), F.xxhash64(page, F.lit("page")))).alias("page"), F.when(F.size(words) >= LEAST_WORDS, words).alias("words")
     )
-    base = cut(base.dropDuplicates(["id"]))
+    return base.dropDuplicates(["id"])
+
+
+def _alike() -> Column:
+    """Exact check of a candidate on the hashes wa and wb of both records."""
+    common = F.size(F.array_intersect("wa", "wb"))
+    return F.when(F.col("kind") == 1, F.col("wa") == F.col("wb")).otherwise(common >= SIMILARITY * (F.size("wa") + F.size("wb") - common) - 1e-9)
+
+
+def near_pairs(items: DataFrame) -> DataFrame:
+    """(id_a, id_b) of all items of the same page or with a near-equal key; ``items`` has id, canonical_url, title_key, run_id."""
+    spark = items.sparkSession
+    base = cut(_records(items))
     # one class per distinct set of words; its members share every similarity
     classes = cut(base.where(F.col("words").isNotNull()).groupBy("words").agg(F.min("id").alias("rec"), F.min("batch").alias("batch"), F.sort_array(F.collect_set("id")).alias("ids")))
     tokens = classes.select(F.explode("words").alias("w"))
@@ -193,9 +204,7 @@ def near_pairs(items: DataFrame) -> DataFrame:
     left = payload.select("kind", F.col("rec").alias("a"), F.col("words").alias("wa"))
     right = payload.select("kind", F.col("rec").alias("b"), F.col("words").alias("wb"))
     both = candidates.join(left, ["kind", "a"]).join(right, ["kind", "b"])
-    common = F.size(F.array_intersect("wa", "wb"))
-    alike = F.when(F.col("kind") == 1, F.col("wa") == F.col("wb")).otherwise(common >= SIMILARITY * (F.size("wa") + F.size("wb") - common) - 1e-9)
-    verified = both.where(alike).select("kind", "a", "b")
+    verified = both.where(_alike()).select("kind", "a", "b")
     # the result expands classes, in joins that spread over the members and never gather a class in one task
     members = classes.select("rec", F.explode("ids").alias("id"))
     many = classes.where(F.size("ids") > 1).select(F.col("rec").alias("a"), F.col("rec").alias("b"))
@@ -207,6 +216,81 @@ def near_pairs(items: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
+_GRAM_COLUMNS = ["bucket", "gram", "rec", "batch", "n", "j", "short", "kind"]
+
+
+class HistoryIndex:
+    """The persistent form: one immutable sorted segment of grams per batch, any two of like size merged into one.
+
+    ``add`` compares a batch with everything accepted before and with itself, then accepts it. It reads the texts of
+    the batch only; of the store it reads the index rows whose gram the batch has, and the hashes of the candidates.
+    The order of rarity is that of the first batch and stays: any fixed order finds every pair, a stale one only makes
+    more candidates. Items accepted before are ignored when they come again. A batch becomes part of the store by one
+    rename-free step, its entry in the list of segments, so a run that dies can be repeated.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
+        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
+        from presslens.sources.store import Store
+
+        self.store = Store(spark, self.folder)
+
+    def _segments(self) -> list[tuple[int, int]]:
+        """(number, grams) of the live segments, oldest first."""
+        live = self.store.read("segments")
+        return sorted((r["no"], r["grams"]) for r in live.collect()) if live is not None else []
+
+    def _grams_of(self, number: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/grams/{number}")
+
+    def add(self, items: DataFrame) -> DataFrame:
+        """(id_a, id_b) of the new pairs of a batch; afterwards the batch is part of the history."""
+        live = self._segments()
+        batch = _records(items)
+        known = self.store.read("records") if live else None
+        if known is not None:
+            batch = batch.join(known.select("id"), "id", "left_anti")
+        batch = cut(batch)
+        titles = batch.where(F.col("words").isNotNull()).select(F.col("id").alias("rec"), "batch", F.lit(0).cast("short").alias("kind"), "words")
+        pages = batch.where(F.col("page").isNotNull()).select(F.col("id").alias("rec"), "batch", F.lit(1).cast("short").alias("kind"), F.slice("page", 1, 1).alias("words"))
+        hot_rows = self.store.read("hot")
+        if hot_rows is None:
+            n = titles.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).head()[0]
+            hot_rows = titles.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") > max(1, n // HOT))
+            self.store.write("hot", hot_rows)
+            hot_rows = self.store.read("hot")
+        grams = cut(_grams(titles.unionByName(pages), {r["w"]: r["count"] for r in hot_rows.collect()}, self.buckets))
+        met = grams
+        if live:
+            wanted = grams.select("gram").distinct()
+            for number, _ in live:
+                met = met.unionByName(self._grams_of(number).join(wanted, "gram", "left_semi").select(*_GRAM_COLUMNS))
+        found = met.groupBy("bucket").applyInArrow(replay, "kind short, a bigint, b bigint, coverage bigint").select("kind", "a", "b").distinct()
+        new = batch.select("id")
+        if live:  # pairs of two old records were reported when the later one came
+            found = found.join(new.select(F.col("id").alias("a"), F.lit(True).alias("na")), "a", "left").join(new.select(F.col("id").alias("b"), F.lit(True).alias("nb")), "b", "left").where("na OR nb")
+        everything = batch.select("id", "page", "words") if known is None else known.select("id", "page", "words").unionByName(batch.select("id", "page", "words"))
+        payload = lambda end, own: everything.select(F.col("id").alias(end), F.col("page").alias(f"p{own}"), F.col("words").alias(f"t{own}"))
+        both = found.join(payload("a", "a"), "a").join(payload("b", "b"), "b").withColumns({f"w{x}": F.when(F.col("kind") == 1, F.col(f"p{x}")).otherwise(F.col(f"t{x}")) for x in "ab"})
+        pairs = cut(both.where(_alike()).select(F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct())
+        number = live[-1][0] + 1 if live else 1
+        self._write(number, grams)
+        if live:
+            self.store.append("records", batch)
+        else:
+            self.store.write("records", batch)
+        live.append((number, grams.count()))
+        while len(live) > 1 and live[-2][1] < 2 * live[-1][1]:  # merging keeps the number of segments logarithmic
+            (a, n), (b, m) = live[-2:]
+            self._write(b + 1, self._grams_of(a).unionByName(self._grams_of(b)))
+            live[-2:] = [(b + 1, n + m)]
+        self.store.write("segments", self.spark.createDataFrame(live, "no long, grams long"))
+        return pairs
+
+    def _write(self, number: int, grams: DataFrame) -> None:
+        grams.select(*_GRAM_COLUMNS).repartition("bucket").sortWithinPartitions("bucket", "gram").write.mode("overwrite").parquet(f"{self.folder}/grams/{number}")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of items that tell the same story, over all runs."""
     return near_pairs(table(spark, sf_dir, "items").select("id", "canonical_url", "title_key", "run_id"))

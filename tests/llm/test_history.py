@@ -62,3 +62,20 @@ def test_merging_segments_finds_across_batches():
     t = pa.table({"bucket": pa.array(np.zeros(n, np.int32)), "gram": pa.array(gram), "rec": pa.array(np.arange(n)), "batch": pa.array(np.arange(n) // 100), "n": pa.array(np.ones(n, np.int16)), "j": pa.array(np.zeros(n, np.int16)), "short": pa.array(np.ones(n, bool)), "kind": pa.array(np.ones(n, np.int16))})
     counts = np.bincount(gram)
     assert history.replay(t).num_rows == int((counts * (counts - 1) // 2).sum())
+
+
+def test_batches_add_up_to_the_whole(spark, tmp_path):
+    rng = random.Random(9)
+    items = []
+    for i in range(150):
+        ws = (rng.choice(items)[2].split(" ") if items and rng.random() < 0.5 else rng.sample([f"n{k}" for k in range(40)], 6)) + []
+        ws[rng.randrange(len(ws))] = rng.choice(["court", "loans", "n1"])
+        items.append((i, f"https://a.test/{rng.randint(0, 90)}", " ".join(ws), i // 30))
+    schema = "id long, canonical_url string, title_key string, run_id long"
+    index, got = history.HistoryIndex(spark, str(tmp_path), buckets=4), []
+    for run in range(5):
+        batch = [x for x in items if x[3] == run] + ([items[0]] if run else [])
+        got += [(r[0], r[1]) for r in index.add(spark.createDataFrame(batch, schema)).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r[0], r[1]) for r in history.near_pairs(spark.createDataFrame(items, schema)).collect()}
+    assert len(index._segments()) <= 3
+    assert index.add(spark.createDataFrame([], schema)).count() == 0
