@@ -5,8 +5,8 @@ number as #, everything else as itself; a final stop becomes a token of its own.
 trigram is counted inside (another word follows) and terminal (a stop or the end of the text follows). A text is cut
 if it ends in a mark of omission; or if its final trigram is frequent inside and almost never terminal; or if its
 final word is unknown after the two before it while a longer word that begins with it is frequent there (for a name:
-while names are frequent there and none ends like it). If the first word of the text goes on from its last two, the
-words were only moved around and nothing is missing.
+while names are frequent there and none ends like it). If the first word of the text (behind a label such as
+"Update:") is a usual one after its last two, the words were only moved around and nothing is missing.
 
 A text that ends in a stop, or in a trigram that does end texts, is complete, with or without the stop. Null and
 blank values are no cases; repeated rows give one case; texts of any length are counted whole. The counts are
@@ -26,6 +26,9 @@ LEAST_SEEN, TERMINAL_SHARE = 3, 0.1
 #: A word class that makes up this share of the capitalised words is a usual ending of names.
 USUAL_ENDING = 0.001
 
+#: A word that follows two others in this share of the places is their usual next one.
+USUAL_NEXT = 0.05
+
 _MARK = r"(…|\.\.\.+|\[\s*(…|\.\.\.+)\s*\]|\(\s*(…|\.\.\.+)\s*\))\s*$"
 
 # Cyrillic letters and the Latin ones they look like; before them the full-width digits and letters.
@@ -35,14 +38,14 @@ _PLAIN = "".join(chr(c - 0xFEE0) for c in _WIDTHS) + "ABEKMHOPCTXISJaeopcyxisj"
 
 CELLS = rf"""
     SELECT id, source_domain, field, text RLIKE r'{_MARK}' AS marked, length(text) AS len,
-           regexp_replace(translate(text, '{_WIDE}', '{_PLAIN}'), r'[\\p{{{{Cf}}}}\\p{{{{M}}}}]|[\s”"»)’]+$', '') AS text
+           regexp_replace(translate(text, '{_WIDE}', '{_PLAIN}'), r'[\p{{{{Cf}}}}\p{{{{M}}}}]|[\s\p{{{{Z}}}}”"»)’]+$', '') AS text
     FROM (SELECT id, source_domain, stack(2, 'title', title, 'summary', summary) AS (field, text) FROM {{items}})
     WHERE trim(text) <> ''
 """
 
 #: Lengths at which a source's values pile up with next to nothing beyond: at most a few rows per source and field.
 LIMITS = """
-    SELECT source_domain, field, max(len) AS len FROM (
+    SELECT source_domain, field, max_by(len, struct(n, len)) AS len FROM (
         SELECT source_domain, field, len, n, sum(n) OVER (PARTITION BY source_domain, field ORDER BY len DESC) - n AS n_beyond
         FROM (SELECT source_domain, field, len, count(*) AS n FROM {cells} WHERE NOT marked GROUP BY 1, 2, 3))
     WHERE n >= 5 AND n_beyond <= 0.5 * n GROUP BY 1, 2
@@ -51,7 +54,7 @@ LIMITS = """
 TOKENS = r"""
     SELECT id, field, marked, at_limit,
            concat(array('<s>', '<s>'), filter(split(regexp_replace(regexp_replace(regexp_replace(text,
-               r'\p{{Lu}}[\p{{L}}]*?(\p{{L}}{{0,3}})(?!\p{{L}})', '~$1'), r'\d[\d.,]*\d|\d', '#'), r'[.!?]+(?=[\s”"»)]|$)', ' </s> '), r'\s+'), w -> w <> '')) AS w
+               r'\p{{Lu}}[\p{{L}}]*?(\p{{L}}{{0,3}})(?!\p{{L}})', '~$1'), r'\d[\d.,]*\d|\d', '#'), r'[.!?]+(?=[\s”"»)]|$)', ' </s> '), r'[\s\p{{Z}}]+'), w -> w <> '')) AS w
     FROM (SELECT c.*, l.len IS NOT NULL AS at_limit FROM {cells} c
           LEFT JOIN {limits} l ON c.source_domain = l.source_domain AND c.field = l.field AND c.len BETWEEN l.len - 1 AND l.len)
 """
@@ -70,7 +73,7 @@ COUNTS = """
 #: Final trigrams of texts without mark and stop, and the trigram of the last two words and the first one.
 FINALS = """
     SELECT id, field, marked, w[size(w) - 1] AS c, xxhash64(field, w[size(w) - 3], w[size(w) - 2]) AS k,
-           xxhash64(field, w[size(w) - 2], w[size(w) - 1]) AS k_around, w[2] AS c_around
+           xxhash64(field, w[size(w) - 2], w[size(w) - 1]) AS k_around, CASE WHEN w[2] LIKE '%:' AND size(w) > 4 THEN w[3] ELSE w[2] END AS c_around
     FROM {tokens} WHERE size(w) > 2 AND (marked OR w[size(w) - 1] <> '</s>')
 """
 
@@ -95,7 +98,8 @@ CUT = r"""
     SELECT id, field FROM {finals} WHERE marked
     UNION
     SELECT o.id, o.field FROM open o
-    LEFT ANTI JOIN (SELECT k, c FROM {counts} WHERE n_inside >= {least}) r ON o.k_around = r.k AND o.c_around = r.c
+    LEFT ANTI JOIN (SELECT k, c FROM (SELECT k, c, n_inside, sum(n_inside) OVER (PARTITION BY k) AS n_all FROM {counts}) WHERE n_inside >= {least} AND n_inside >= {around} * n_all) r
+        ON o.k_around = r.k AND o.c_around = r.c
 """
 
 
@@ -105,7 +109,7 @@ def find_cut(spark: SparkSession, items: DataFrame, least: int = LEAST_SEEN, sha
     tokens = spark.sql(TOKENS, cells=cells, limits=spark.sql(LIMITS, cells=cells))
     # both are read several times below and are small next to the texts
     counts, finals = cut(spark.sql(COUNTS, tokens=tokens)), cut(spark.sql(FINALS, tokens=tokens))
-    return spark.sql(CUT, counts=counts, finals=finals, endings=spark.sql(ENDINGS, counts=counts, usual=USUAL_ENDING), least=least, share=share)
+    return spark.sql(CUT, counts=counts, finals=finals, endings=spark.sql(ENDINGS, counts=counts, usual=USUAL_ENDING), least=least, share=share, around=USUAL_NEXT)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
