@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -382,12 +383,11 @@ def r2(spark, sf):
     """The same counts by a stream driven over what is there."""
     name = "events.parquet"
     schema = table(spark, sf, "events").schema
-    import os
-
     reader = spark.readStream.schema(schema)
     stream = reader.parquet(f"{sf}/{name}") if os.path.isdir(f"{sf}/{name}") else reader.option("pathGlobFilter", name).parquet(sf)
-    where = tempfile.mkdtemp(prefix="stream-", dir=ensure_checkpoint_dir(spark).removeprefix("file:") if ensure_checkpoint_dir(spark).startswith(("/", "file:")) else None)
-    out = incremental.run_available(incremental.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"r2_{abs(hash(where)) % 10**9}", where)
+    run = uuid.uuid4().hex
+    where = f"{ensure_checkpoint_dir(spark)}/stream-{run}"
+    out = incremental.run_available(incremental.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"r2_{run}", where)
     return out.withColumn("total", F.round("total", 2))
 
 
