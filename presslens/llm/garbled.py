@@ -7,7 +7,9 @@ plus the cost of the chain, wins, and the text stays as it is unless a chain bea
 damage that nothing undoes: such a value is found and only its recoverable words are restored.
 
 A regular expression in the JVM passes on only values with a pair of characters that reads as a multi-byte sequence
-under some codec, or with a character that no language of the corpus writes. The dictionaries come from a bounded
+under some codec, a character that no language of the corpus writes, or a letter or sign that a single-byte mix-up may
+have brought in. Of the last kind only those are judged whose letter or sign stands where the dictionaries don't have
+it (after and before other characters), or that have a capital after a small letter. The dictionaries come from a bounded
 sample (``SAMPLE_ROWS`` labelled rows of each language, smallest hashes first); every value of every row is judged.
 Null and empty values are no cases; repeated rows give one case; without any labelled row, plain compression decides.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +40,11 @@ NARROW = [(w, r) for w in ("cp1252", "mac-roman", "cp850", "cp437", "cp1251", "c
 COST_WIDE, COST_NARROW, COST_LOSS = 1.0, 2.0, 3.0
 #: Description length of a character that a chain brings in and no language of the corpus writes.
 COST_FOREIGN = 4.0
+#: Description length of a letter or sign in a place where the dictionaries don't have it.
+COST_ODD = 4.5
+#: Sentences of the dictionaries that must have a letter or sign between the same neighbours for it to be usual there, and
+#: the largest share of places met in one sentence only (so often a place not met is a usual one) with which places count.
+USUAL_PLACE, SINGLE_PLACES = 3, 0.02
 
 # The letters beyond ASCII that the eleven languages write, and common signs.
 LETTERS = "áàâäãåæçéèêëíìîïñóòôöõøœúùûüßýąćęłńśźżÁÀÂÄÃÅÆÇÉÈÊËÍÌÎÏÑÓÒÔÖÕØŒÚÙÛÜÝĄĆĘŁŃŚŹŻΪΫΆΈΉΊΌΎΏΐΰϊϋάέήίόύώ"
@@ -93,6 +101,15 @@ def _patterns(java: bool) -> str:
 #: What a value must contain to be judged at all; tests hold that it loses no restorable value.
 SUSPICIOUS_JAVA = _patterns(java=True)
 _SUSPICIOUS = re.compile(_patterns(java=False))
+#: Signs that stand inside running text; the others and all Latin letters beyond ASCII are passed on wherever they are.
+_QUOTES = "–—‘“”…«»"
+_LATIN = "".join(c for c in LETTERS if c < "\u0370")
+_ODD_SIGNS = "".join(c for c in SIGNS if c not in _QUOTES + "’")
+#: What a value must contain that a single-byte mix-up may have changed to usual letters and signs.
+MIXED_UP_JAVA = rf"(?=[^\x{{0}}-\x{{7F}}])(?:[{_class(_LATIN + _ODD_SIGNS, java=True)}]|(?<=\p{{L}})[{_class(_QUOTES, java=True)}]\p{{L}}|(?<=[A-Za-z])[\x{{370}}-\x{{3FF}}]|[\x{{370}}-\x{{3FF}}][A-Za-z])"
+_SENTENCE = re.compile(r"[.!?]\s+|\n")
+_PLACED = re.compile(f"[{_class(_LATIN + SIGNS, java=False)}]")
+_CAPITAL_INSIDE = re.compile(f"[a-z{_class(''.join(c for c in _LATIN if c.islower()), java=False)}][{_class(''.join(c for c in _LATIN if c.isupper()), java=False)}]")
 _FOREIGN = re.compile(_patterns(java=False).split("]|", 1)[0].split("(?:", 1)[1] + "]")
 _SIGN_KINDS = ("So", "Sm", "Sc", "Sk", "Po", "No", "Lm", "Cc", "Pc", "Pe", "Ps")
 _MIXED = re.compile(r"[A-Za-zÀ-ɏ][\u0370-\u04ff]|[\u0370-\u04ff][A-Za-zÀ-ɏ]")
@@ -104,7 +121,24 @@ _ALL_LATIN = re.compile(r"[^\w\s]*[À-ÿ]{2,}[^\w\s]*$")
 
 def suspicious(value: Column) -> Column:
     """Whether a value may be garbled."""
-    return value.rlike(SUSPICIOUS_JAVA)
+    return value.rlike(SUSPICIOUS_JAVA) | value.rlike(MIXED_UP_JAVA)
+
+
+@lru_cache(20_000)
+def _place(three: str) -> str:
+    """A character with its neighbours: of a letter the letters beside it, of a sign only their kinds."""
+    if three[1].isalpha():
+        return "".join(c if c.isalpha() else " " for c in three)
+    return "".join(c if i == 1 else "a" if c.isalpha() else " " if c.isspace() else "." for i, c in enumerate(three))
+
+
+def places(text: str) -> Iterator[str]:
+    """Where the letters and signs beyond ASCII of a text stand, without regard to case; a cut and what it ends are left out.
+
+    A small letter at the end of the text may stand before a cut without mark.
+    """
+    low, last = f" {text.lower()} ", len(text) if text[-1:].islower() else -1
+    return (_place(low[m.start() - 1 : m.start() + 2]) for m in _PLACED.finditer(low) if m[0] != "…" and low[m.end()] not in ".…" and m.start() != last)
 
 
 class Restorer:
@@ -112,6 +146,9 @@ class Restorer:
 
     def __init__(self, dictionaries: dict[str, bytes]):
         self.packers, self.known = [], {}
+        seen = Counter(p for content in dictionaries.values() for part in dict.fromkeys(_SENTENCE.split(content.decode("utf-8", "replace"))) for p in places(part))
+        enough = sum(n == 1 for n in seen.values()) <= SINGLE_PLACES * sum(seen.values())
+        self.usual = {p for p, n in seen.items() if n >= USUAL_PLACE} if enough else set()
         for content in dictionaries.values():
             if len(content) >= 8:
                 d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -136,8 +173,23 @@ class Restorer:
             count += sum(c not in text for c in signs if unicodedata.category(c) not in _SIGN_KINDS) + len(_MIXED.findall(out))
         return COST_FOREIGN * count
 
-    @staticmethod
-    def steps(text: str) -> Iterator[tuple[str, float]]:
+    def odd(self, text: str) -> int:
+        """How many usual letters and signs stand where no language writes them; with few texts known only capitals tell."""
+        if text.isascii():
+            return 0
+        return sum(p not in self.usual for p in places(text)) if self.usual else len(_CAPITAL_INSIDE.findall(text))
+
+    def doubtful(self, text: str) -> bool:
+        """Whether a single-byte mix-up may have changed letters to usual ones."""
+        return bool(self.odd(text) or _MIXED.search(text))
+
+    def price(self, out: str, text: str | None = None) -> float:
+        """Description length of a text, as a repair of ``text`` if that is given; foreign characters only come from foreign ones."""
+        if text is not None and _FOREIGN.search(out) and not _FOREIGN.search(text):
+            return 1e9
+        return self.length(out) + self.foreign(out, text) + COST_ODD * self.odd(out)
+
+    def steps(self, text: str) -> Iterator[tuple[str, float]]:
         """Every text that one step of a chain can lead to, with the step's cost."""
         clean = False
         for codec in WIDE:
@@ -154,7 +206,7 @@ class Restorer:
             if out != text:
                 clean |= cost == COST_WIDE
                 yield out, cost
-        if clean or not (_FOREIGN.search(text) or _LATIN_RUN.search(text)):
+        if clean or not (_FOREIGN.search(text) or _LATIN_RUN.search(text) or self.doubtful(text + " ")):
             return  # a text that reads as split sequences throughout, or has no sign of a single-byte mix-up
         for wrong, right in NARROW:
             raw = _encode(text, wrong)
@@ -194,13 +246,13 @@ class Restorer:
 
     def _restore(self, text: str) -> tuple[str, bool]:
         damaged = "�" in text
-        if not _SUSPICIOUS.search(text):
+        if not (_SUSPICIOUS.search(text) or self.doubtful(text)):
             return text, damaged
         parts = re.split(r"( )", text)
-        flagged = [i for i, p in enumerate(parts) if "�" not in p and any(map(str.isalpha, p)) and (_SUSPICIOUS.search(p) or _ALL_LATIN.match(p))]
+        flagged = [i for i, p in enumerate(parts) if "�" not in p and any(map(str.isalpha, p)) and (_SUSPICIOUS.search(p) or _ALL_LATIN.match(p) or self.doubtful(p + " "))]
         if not flagged:
             return text, damaged
-        best, least = text, self.length(text) + self.foreign(text)
+        best, least = text, self.price(text)
         candidates: dict[str, float] = dict(self.chains(text)) if not damaged else {}
         joined = " ".join(parts[i] for i in flagged)
         for out, cost in self.chains(joined).items():
@@ -212,17 +264,17 @@ class Restorer:
                 whole = "".join(copy)
                 candidates[whole] = min(cost, candidates.get(whole, 1e9))
         for out, cost in candidates.items():
-            total = self.length(out) + cost + self.foreign(out, text)
+            total = self.price(out, text) + cost
             if total < least:
                 best, least = out, total
         if len(flagged) > 1 and (best == text or best.count("�") > text.count("�") or _SUSPICIOUS.search(best)):
             # words damaged in different ways, or some of them not at all, are judged one by one
-            now, spent = self.length(text) + self.foreign(text), 0.0
+            now, spent = self.price(text), 0.0
             for i in flagged:
                 options = []
                 for out, cost in self.chains(parts[i]).items():
                     whole = "".join(parts[:i] + [out] + parts[i + 1 :])
-                    options.append((self.length(whole) + self.foreign(whole, text) + cost + spent, cost, out))
+                    options.append((self.price(whole, text) + cost + spent, cost, out))
                 if options and min(options)[0] < now:
                     now, cost, parts[i] = min(options)
                     spent += cost

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.garbled import LANGUAGES, Restorer, _restorer, _SUSPICIOUS, fit_dictionaries
+from presslens.llm.garbled import LANGUAGES, Restorer, _restorer, fit_dictionaries
 from presslens.llm.lookalikes import has_clusters, plain
 from presslens.session import table
 
@@ -70,8 +70,7 @@ def _readable(text: str | None, restorer: Restorer) -> str | None:
     """A text as the source wrote it, in its one form."""
     if not text or text.isascii():
         return text
-    if _SUSPICIOUS.search(text):
-        text = restorer.restore(text)[0]
+    text = restorer.restore(text)[0]
     return plain(text)[0] if has_clusters(text) else text
 
 
