@@ -31,6 +31,8 @@ WINDOW = 96
 EMBED, WIDTHS, FILTERS = 8, (2, 3, 4, 5), 20
 #: Letters of lower-case words that a stretch must have to be judged by itself, and to bring in a second language.
 LEAST_LETTERS, SECOND_LETTERS, SECOND_CONFIDENCE = 6, 16, 0.8
+#: Confidence with which a shorter or damaged stretch brings in a second language that the label doesn't name.
+SHORT_CONFIDENCE = 0.99
 
 # Other notations of the languages, and labels that name none.
 NOTATIONS = {
@@ -175,7 +177,7 @@ def judge(texts: list[tuple[str | None, ...]], network: Network) -> list[list[tu
                 keys.append((r, f, a, b))
                 parts.append(_prepare(part))
                 n = evidence(parts[-1])
-                letters.append(min(n, SECOND_LETTERS - 1) if "\ufffd" in part else n)  # damage brings in no second language
+                letters.append(min(n, SECOND_LETTERS - 1) if "\ufffd" in part else n)  # damage counts as a short stretch
     out: list[list[tuple[int, int, int, str, float, int]]] = [[] for _ in texts]
     if not parts:
         return out
@@ -201,8 +203,12 @@ def judge(texts: list[tuple[str | None, ...]], network: Network) -> list[list[tu
     return out
 
 
-def languages_of(row: list[tuple[int, int, int, str, float, int]]) -> dict[str, float]:
-    """Languages of a row of stretches with their confidence; the first is the one of most letters."""
+def languages_of(row: list[tuple[int, int, int, str, float, int]], label: str | None = None) -> dict[str, float]:
+    """Languages of a row of stretches with their confidence; the first is the one of most letters.
+
+    A short stretch brings in a second language only where nothing else of its field is in the main one (a cut sentence
+    tells little), and if it is surer than a long one or the row's label names the same.
+    """
     weight: dict[str, float] = {}
     for _, _, _, lang, conf, n in row:
         if lang:
@@ -211,8 +217,10 @@ def languages_of(row: list[tuple[int, int, int, str, float, int]]) -> dict[str,
         return {}
     main = max(weight, key=lambda k: (weight[k], k))
     out = {main: max(c for _, _, _, lang, c, _ in row if lang == main)}
-    for _, _, _, lang, conf, n in row:
-        if lang and lang != main and n >= SECOND_LETTERS and conf >= SECOND_CONFIDENCE:
+    in_main = {f for f, _, _, lang, _, n in row if lang == main and n}
+    for f, _, _, lang, conf, n in row:
+        least = SECOND_CONFIDENCE if n >= SECOND_LETTERS or lang == label else SHORT_CONFIDENCE
+        if lang and lang != main and conf >= least and (n >= SECOND_LETTERS or n >= LEAST_LETTERS and f not in in_main):
             out[lang] = max(conf, out.get(lang, 0.0))
     return out
 
@@ -290,8 +298,8 @@ def _identify_labelled(items: DataFrame, network: Network | None, dictionaries:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
                 texts = [(readable(t), readable(s)) for t, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-                found = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), map(languages_of, judge(texts, network)))
-                out = [(i, label, lang, len(langs)) for i, label, langs in found for lang in _against(label, langs)]
+                found = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), judge(texts, network))
+                out = [(i, label, lang, len(langs)) for i, label, row in found for langs in [languages_of(row, label)] for lang in _against(label, langs)]
                 cols = list(zip(*out)) if out else [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int32()))], names=["id", "label", "lang", "n_langs"])
 

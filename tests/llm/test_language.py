@@ -35,6 +35,30 @@ def test_mixed_and_edge_texts(fitted):
     assert "".join(text[a:b] for a, b in language.stretches(text)) == text
 
 
+HEADLINES = {
+    "el": "Υποβάθμιση της Zamamont Bank λόγω Zojunor, Zukaström, Cegolin, Cigudem και Cohakas",
+    "pl": "Zadłużenie Luzifors rośnie po Gerunor, Juseström, Misolin, Puzodem i Ticakas",
+    "pt": "Credores da Ronifors Bank recusam Fehonor, Jobaström, Mutilin e Semudem com Zohekas",
+    "fr": "Ritufors SE cède Legenor et Kopaström à Kadilin malgré Jepudem et Hofekas",
+}
+ENGLISH = "Shares in Lipora fell sharply after the auditor of the company refused to sign the accounts."
+
+
+def test_short_headlines_over_another_language(fitted):
+    network, _ = fitted
+    rows = language.judge([(h, ENGLISH) for h in HEADLINES.values()], network)
+    assert all(s[5] < language.SECOND_LETTERS for row in rows for s in row if s[0] == 0)
+    assert [set(language.languages_of(r, k)) for k, r in zip(HEADLINES, rows)] == [{k, "en"} for k in HEADLINES]
+    assert set(language.languages_of(rows[0])) == {"el", "en"}  # without a label
+
+
+def test_short_stretches_need_more():
+    long = (1, 0, 90, "en", 0.99, 60)
+    for n, conf, label, brings in [(8, 0.9, "en", False), (8, 0.9, "pl", True), (8, 0.995, None, True), (20, 0.85, None, True), (0, 0.99, "pl", False), (8, 0.7, "pl", False)]:
+        assert set(language.languages_of([(0, 0, 30, "pl", conf, n), long], label)) == ({"en", "pl"} if brings else {"en"})
+    assert set(language.languages_of([long, (1, 90, 99, "nl", 0.999, 8)], "nl")) == {"en"}  # the rest of a cut field
+
+
 def test_labels(spark):
     labels = {"EN": "en", "en_GB": "en", "pt-BR": "pt", "deu": "de", "Finnish": "fi", " german ": "de", "--": None, "": None, None: None, "und": None, "ell": "el", "ru": "ru"}
     df = spark.createDataFrame([(i, k) for i, k in enumerate(labels)], "i int, l string").select("i", language.normal_label(F.col("l")).alias("n"))
