@@ -361,6 +361,36 @@ def j10(spark, sf):
     return clusters.republished(i.select("id", F.coalesce("title_key", F.lit("")).alias("key"), T.tokens(F.coalesce("title_key", F.lit(""))).alias("toks"), "at"))
 
 
+_STEMS = "list_distinct(list_transform(list_filter(regexp_extract_all(title_key, '\\p{L}{5,}'), lambda w: NOT list_contains(own, left(w, 5))), lambda w: left(w, 6)))"
+
+
+@query("j17_echo_stems", f"""WITH {ITEMS}, {MATCHES}, n AS (SELECT id AS name_id, list_transform(regexp_extract_all(lower(concat_ws(' ', name, array_to_string(aliases, ' '))), '\\p{{L}}{{5,}}'), lambda w: left(w, 5)) AS own FROM names),
+    x AS (SELECT DISTINCT i.id, i.title_key, i.status, i.alert_candidate, m.name_id, m.where_ = 'title' AS named, {_STEMS} AS stems FROM i JOIN m ON m.item_id = i.id JOIN n USING (name_id) WHERE i.title_key <> '')
+    SELECT a.id, a.name_id, count(DISTINCT e.title_key) AS n_echoes FROM x a JOIN x e ON e.name_id = a.name_id AND e.status = 'screened' AND e.named AND list_has_any(a.stems, e.stems) WHERE a.alert_candidate AND a.status <> 'screened' GROUP BY 1, 2""")
+def j17_echo_stems(spark, sf):
+    """Distinct screened headlines of the same name that share a stem with each alert, the name's own words left out.
+
+    Equal headlines of a name are one class on both sides before the stems meet; a stem of many headlines is split by AQE.
+    """
+    i = ledger.items(spark, sf, "title_key", "status", "alert_candidate").where("title_key <> ''")
+    m = table(spark, sf, "matches").select(F.col("item_id").alias("id"), "name_id", (F.col("where_") == "title").alias("named")).distinct()
+    words = lambda text: F.regexp_extract_all(text, F.lit(r"(\p{L}{5,})"))
+    own = F.transform(words(F.lower(F.concat_ws(" ", "name", F.array_join("aliases", " ")))), lambda w: F.left(w, F.lit(5)))
+    n = table(spark, sf, "names").select(F.col("id").alias("name_id"), own.alias("own"))
+    rows = i.join(m, "id")
+
+    def classes(part, out):
+        firsts = part.groupBy("name_id", "title_key").agg(F.min("id").alias(out)).join(n, "name_id")
+        told = F.filter(words(F.col("title_key")), lambda w: ~F.array_contains("own", F.left(w, F.lit(5))))
+        return firsts.select("name_id", out, F.explode(F.array_distinct(F.transform(told, lambda w: F.left(w, F.lit(6))))).alias("stem"))
+
+    alerts = rows.where("alert_candidate AND status <> 'screened'").select("id", "name_id", "title_key").distinct()
+    met = classes(alerts, "first_id").join(classes(rows.where("status = 'screened' AND named"), "echo_id"), ["name_id", "stem"])
+    counts = met.select("name_id", "first_id", "echo_id").distinct().groupBy("name_id", "first_id").agg(F.count(F.lit(1)).alias("n_echoes"))
+    members = alerts.select("id", "name_id", F.min("id").over(Window.partitionBy("name_id", "title_key")).alias("first_id"))
+    return members.join(counts, ["name_id", "first_id"]).select("id", "name_id", "n_echoes")
+
+
 @query("c18_page_visits", f"WITH {ITEMS}, f AS (SELECT source_domain, canonical_url, min(run_id) AS first_run FROM i WHERE route = 'page' GROUP BY 1, 2), v AS (SELECT source_domain, min(first_run) AS seed FROM f GROUP BY 1) SELECT f.source_domain, f.first_run AS run_id, count(*) AS n_new FROM f JOIN v USING (source_domain) WHERE f.first_run > v.seed GROUP BY 1, 2")
 def c18(spark, sf):
     """New links of every watched page by visit; the first visit only seeds."""

@@ -110,3 +110,13 @@ def test_feeds(spark):
     assert {(r["block"], r["value"]) for r in feeds.flat_lists(lines).collect()} == {("domains", "a.test"), ("other", "b c")}
     articles = spark.createDataFrame([('{"articles":[{"url":"https://a.test/1","title":"T","seendate":"20250915T151821Z","language":"English"}]}',), ("rate limit",)], "doc string")
     assert [(x["link"], x["lang"]) for x in feeds.parse_articles(articles).collect()] == [("https://a.test/1", "english")]
+
+
+def test_echoes_outside_the_cluster(spark, tmp_path):
+    from presslens.plans import registry
+
+    items = [(1, "gola court blocks refinancing", "candidate", True), (2, "gola refinancing talks stall", "screened", False), (3, "gola appoints chairman", "screened", False), (4, "refinancing of another house", "screened", False)]
+    spark.createDataFrame([(*r, None) for r in items], "id long, title_key string, status string, alert_candidate boolean, cluster_id long").write.parquet(f"{tmp_path}/items.parquet")
+    spark.createDataFrame([(1, "a", "Gola", "title", 1.0), (2, "a", "Gola", "title", 1.0), (3, "a", "Gola", "title", 1.0), (4, "b", "Other", "title", 1.0)], "item_id long, name_id string, alias string, where_ string, confidence double").write.parquet(f"{tmp_path}/matches.parquet")
+    spark.createDataFrame([("a", "Gola Group", ["Gola"]), ("b", "Other", ["Other"])], "id string, name string, aliases array<string>").write.parquet(f"{tmp_path}/names.parquet")
+    assert [tuple(r) for r in registry.queries()["j17_echo_stems"](spark, str(tmp_path)).collect()] == [(1, "a", 1)]
