@@ -399,6 +399,22 @@ def c18(spark, sf):
     return f.withColumn("seed", seed).where("run_id > seed").groupBy("source_domain", "run_id").agg(F.count(F.lit(1)).alias("n_new"))
 
 
+@query("c18_guarded_visits", f"""WITH {ITEMS}, v AS (SELECT DISTINCT source_domain, canonical_url, run_id FROM i WHERE route = 'page'),
+    c AS (SELECT a.*, NOT EXISTS (SELECT 1 FROM v b WHERE b.source_domain = a.source_domain AND b.canonical_url = a.canonical_url AND b.run_id < a.run_id) AS unseen FROM v a),
+    t AS (SELECT source_domain, run_id, count(*) AS n_listed, count(*) FILTER (WHERE unseen) AS n_unseen FROM c GROUP BY 1, 2)
+    SELECT source_domain, run_id, n_unseen AS n_new FROM t WHERE n_unseen > 0 AND NOT (n_unseen > 3 AND 2 * n_unseen >= n_listed) AND run_id > (SELECT min(run_id) FROM v WHERE v.source_domain = t.source_domain)""")
+def c18_guarded(spark, sf):
+    """New links of every watched page by visit: the first visit seeds, and so does a visit that reads the archive again.
+
+    Such a visit has more than three unseen links that are at least half of those listed; its links count as seen after.
+    """
+    v = ledger.items(spark, sf, "route", "source_domain", "canonical_url", "run_id").where("route = 'page'").select("source_domain", "canonical_url", "run_id").distinct()
+    first = F.min("run_id").over(Window.partitionBy("source_domain", "canonical_url"))
+    visits = v.withColumn("unseen", F.col("run_id") == first).groupBy("source_domain", "run_id").agg(F.count(F.lit(1)).alias("n_listed"), F.count_if("unseen").alias("n_new"))
+    seed = F.min("run_id").over(Window.partitionBy("source_domain"))
+    return visits.withColumn("seed", seed).where("run_id > seed AND n_new > 0 AND NOT (n_new > 3 AND 2 * n_new >= n_listed)").select("source_domain", "run_id", "n_new")
+
+
 _WINDOW = "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2"
 
 

@@ -120,3 +120,13 @@ def test_echoes_outside_the_cluster(spark, tmp_path):
     spark.createDataFrame([(1, "a", "Gola", "title", 1.0), (2, "a", "Gola", "title", 1.0), (3, "a", "Gola", "title", 1.0), (4, "b", "Other", "title", 1.0)], "item_id long, name_id string, alias string, where_ string, confidence double").write.parquet(f"{tmp_path}/matches.parquet")
     spark.createDataFrame([("a", "Gola Group", ["Gola"]), ("b", "Other", ["Other"])], "id string, name string, aliases array<string>").write.parquet(f"{tmp_path}/names.parquet")
     assert [tuple(r) for r in registry.queries()["j17_echo_stems"](spark, str(tmp_path)).collect()] == [(1, "a", 1)]
+
+
+def test_archive_read_again_is_no_news(spark, tmp_path):
+    from presslens.plans import registry
+
+    links = [(1, "a"), (1, "b"), (2, "a"), (2, "c"), *((3, x) for x in "defg"), (3, "a"), (4, "d"), (4, "h"), (5, "a"), *((5, f"o{k}") for k in range(3))]
+    rows = [(n, "page", "x.example", f"https://x.example/{u}", r) for n, (r, u) in enumerate(links)]
+    spark.createDataFrame(rows, "id long, route string, source_domain string, canonical_url string, run_id long").write.parquet(f"{tmp_path}/items.parquet")
+    got = registry.queries()["c18_guarded_visits"](spark, str(tmp_path)).collect()
+    assert {(r["run_id"], r["n_new"]) for r in got} == {(2, 1), (4, 1), (5, 3)}
