@@ -67,6 +67,16 @@ def s17(spark, sf):
     return table(spark, sf, "items").where("run_id BETWEEN 10 AND 60 AND status = 'candidate'").select("id", "canonical_url", "status").distinct()
 
 
+@query("s17_store_span", f"WITH {ITEMS}, b AS (SELECT min(started_at) AS lo, max(started_at) - min(started_at) AS span FROM runs) SELECT id, canonical_url, i.status FROM i WHERE i.status = 'candidate' AND run_id IN (SELECT r.id FROM runs r, b WHERE r.started_at >= b.lo + b.span / 4 AND r.started_at <= b.lo + b.span / 2)")
+def s17_span(spark, sf):
+    """Scan of the store over the second quarter of the runs' time; status and columns reach the Parquet reader."""
+    runs = _runs(spark, sf).select(F.col("id").alias("run_id"), F.unix_micros(F.col("started_at").cast("timestamp")).alias("at"))
+    bounds = runs.agg(F.min("at").alias("lo"), (F.max("at") - F.min("at")).alias("span"))
+    wanted = runs.join(F.broadcast(bounds)).where("at >= lo + span / 4 AND at <= lo + span / 2").select("run_id")
+    items = table(spark, sf, "items").where("status = 'candidate'").select("id", "canonical_url", "status", "run_id")
+    return items.join(wanted, "run_id", "left_semi").select("id", "canonical_url", "status").distinct()
+
+
 @query("s20_newest_copy", "SELECT route, max_by(run_id, (n, run_id)) AS run_id FROM (SELECT route, run_id, count(DISTINCT id) AS n FROM items GROUP BY 1, 2) GROUP BY 1".replace("max_by(run_id, (n, run_id))", "arg_max(run_id, n * 1000000 + run_id)"))
 def s20(spark, sf):
     """Copy of highest rank, rank compared field by field."""
@@ -262,6 +272,14 @@ def w5(spark, sf):
     return n.join(runs, "r").select("name_id", "run_id")
 
 
+@query("w5_due_runs", "SELECT n.id AS name_id, r.id AS run_id FROM (SELECT id, list_sum(list_transform(string_split(id, ''), lambda c: ascii(c))) AS phase FROM names) n, (SELECT DISTINCT id FROM runs) r WHERE (r.id + n.phase) % 4 = 0")
+def w5_runs(spark, sf):
+    """Names whose turn of four it is, in every run, by an equi-join."""
+    n = table(spark, sf, "names").select(F.col("id").alias("name_id"), F.pmod(scheduling.phase(F.col("id")), F.lit(4)).alias("r"))
+    runs = _runs(spark, sf).select(F.col("id").alias("run_id"), F.pmod(F.lit(4) - F.pmod("id", F.lit(4)), F.lit(4)).alias("r"))
+    return n.join(runs, "r").select("name_id", "run_id")
+
+
 @query("w6_chunks", "WITH x AS (SELECT home_country AS market, kind = 'name' AS heavy, id AS name_id FROM names), r AS (SELECT *, row_number() OVER (PARTITION BY market, heavy ORDER BY name_id) - 1 AS p, ceil(count(*) FILTER (WHERE NOT heavy) OVER (PARTITION BY market) / 6.0) AS light FROM x) SELECT market, name_id, CAST(p // 6 + CASE WHEN heavy THEN light ELSE 0 END AS BIGINT) AS group_no FROM r")
 def w6(spark, sf):
     """Names of each market in groups of six, heavy ones among themselves."""

@@ -130,3 +130,12 @@ def test_archive_read_again_is_no_news(spark, tmp_path):
     spark.createDataFrame(rows, "id long, route string, source_domain string, canonical_url string, run_id long").write.parquet(f"{tmp_path}/items.parquet")
     got = registry.queries()["c18_guarded_visits"](spark, str(tmp_path)).collect()
     assert {(r["run_id"], r["n_new"]) for r in got} == {(2, 1), (4, 1), (5, 3)}
+
+
+def test_scan_and_turns_follow_all_runs(spark):
+    from presslens.plans import registry
+
+    sf = "/root/testdata/sf0.01"  # has more than ten runs
+    assert registry.queries()["w5_due_runs"](spark, sf).select("run_id").distinct().count() == spark.read.parquet(f"{sf}/runs.parquet").select("id").distinct().count()
+    candidates = spark.read.parquet(f"{sf}/items.parquet").where("status = 'candidate'").select("id").distinct().count()
+    assert 0.15 * candidates < registry.queries()["s17_store_span"](spark, sf).count() < 0.35 * candidates
