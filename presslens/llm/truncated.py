@@ -72,7 +72,7 @@ COUNTS = """
 
 #: Final trigrams of texts without mark and stop, and the trigram of the last two words and the first one.
 FINALS = """
-    SELECT id, field, marked, w[size(w) - 1] AS c, xxhash64(field, w[size(w) - 3], w[size(w) - 2]) AS k,
+    SELECT id, field, marked, at_limit, w[size(w) - 1] AS c, xxhash64(field, w[size(w) - 3], w[size(w) - 2]) AS k,
            xxhash64(field, w[size(w) - 2], w[size(w) - 1]) AS k_around, CASE WHEN w[2] LIKE '%:' AND size(w) > 4 THEN w[3] ELSE w[2] END AS c_around
     FROM {tokens} WHERE size(w) > 2 AND (marked OR w[size(w) - 1] <> '</s>')
 """
@@ -82,7 +82,8 @@ ENDINGS = """
     SELECT c FROM (SELECT c, n, sum(n) OVER () AS total FROM (SELECT c, sum(n_inside) AS n FROM {counts} WHERE c LIKE '~%' GROUP BY c)) WHERE n >= {usual} * total
 """
 
-#: Final trigrams that are never terminal, and final words that are the beginning of a usual word of their place.
+#: Final trigrams that are never terminal, and final words that are the beginning of a usual word of their place. Texts
+#: whose first word usually follows their end were moved round, but not a summary at its limit or a lone capital at the end.
 CUT = r"""
     WITH seen AS (SELECT f.*, coalesce(n.n_inside, 0) AS n_inside, coalesce(n.n_terminal, 0) AS n_terminal FROM {finals} f LEFT JOIN {counts} n ON f.k = n.k AND f.c = n.c WHERE NOT f.marked),
     open AS (
@@ -99,7 +100,7 @@ CUT = r"""
     UNION
     SELECT o.id, o.field FROM open o
     LEFT ANTI JOIN (SELECT k, c FROM (SELECT k, c, n_inside, sum(n_inside) OVER (PARTITION BY k) AS n_all FROM {counts}) WHERE n_inside >= {least} AND n_inside >= {around} * n_all) r
-        ON o.k_around = r.k AND o.c_around = r.c
+        ON o.k_around = r.k AND o.c_around = r.c AND NOT (o.at_limit AND o.field = 'summary') AND o.c <> '~'
 """
 
 

@@ -37,3 +37,9 @@ def test_found(spark):
     df = spark.createDataFrame(rows, "id long, source_domain string, title string, summary string")
     got = {r["id"] for r in truncated.find_cut(spark, df).collect() if r["field"] == "summary"}
     assert len(got & cut) >= 0.8 * len(cut) and len(got - cut) <= 0.1 * len(got)
+
+
+def test_cut_after_a_lone_capital(spark):
+    rows = [(i, "s.test", None, "Gonland lost the case. Shares fell again today.") for i in range(60)] + [(i, "s.test", None, "They met again. A Gonland firm won.") for i in range(60, 120)]
+    df = spark.createDataFrame([*rows, (999, "s.test", None, "Gonland lost the case. S")], "id long, source_domain string, title string, summary string")
+    assert [r["id"] for r in truncated.find_cut(spark, df).collect()] == [999]
