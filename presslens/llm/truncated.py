@@ -4,8 +4,9 @@ Words are classed first: a capitalised word by its last letters (names are too m
 number as #, everything else as itself; a final stop becomes a token of its own. Over all texts of a field, each
 trigram is counted inside (another word follows) and terminal (a stop or the end of the text follows). A text is cut
 if its final trigram is frequent inside and almost never terminal; with a mark of omission, which is taken off before,
-unless its final trigram ends texts often and is never met inside; or if its final word is unknown after the two before it while a longer word that begins with it is frequent there (for a name:
-while names are frequent there and none ends like it). If the first word of the text (behind a label such as
+unless its final trigram often stands before a stop and is never met inside; or if its final word is unknown after the
+two before it while a longer word that begins with it is frequent there (for a name: while names are frequent there and
+none ends like it). If the first word of the text (behind a label such as
 "Update:") is a usual one after its last two, the words were only moved around and nothing is missing.
 
 A text that ends in a stop, or in a trigram that does end texts, is complete, with or without the stop. Null and
@@ -23,7 +24,7 @@ from presslens.session import cut, table
 #: Occurrences that make a trigram known, and the share of terminal ones under which it counts as never terminal.
 LEAST_SEEN, TERMINAL_SHARE = 3, 0.1
 
-#: Occurrences from which a trigram that only ever ends texts makes a text complete in spite of a mark of omission.
+#: Stops behind a trigram that is never met inside from which it makes a text complete in spite of a mark of omission.
 LEAST_ENDED = 20
 
 #: A word class that makes up this share of the capitalised words is a usual ending of names.
@@ -84,17 +85,17 @@ LIMITS = """
 
 #: Last words of texts without stop, and whether the text is as long as its source allows.
 FINALS = """
-    SELECT p.id, p.field, p.marked, l.len IS NOT NULL AS at_limit, p.k, p.c, p.k_around, p.c_around
-    FROM (SELECT k, c, f.* FROM {places} WHERE f.id IS NOT NULL) p
+    SELECT p.id, p.field, p.marked, l.len IS NOT NULL AS at_limit, p.n, p.k, p.c, p.k_around, p.c_around
+    FROM (SELECT k, c, n, f.* FROM {places} WHERE f.id IS NOT NULL) p
     LEFT JOIN {limits} l ON p.source = l.source AND p.field = l.field AND p.len BETWEEN l.len - 1 AND l.len
 """
 
 #: How often each word followed two others inside a text, and how often as the last before a stop or the end. The end
 #: of a text that is as long as its source allows, or that has a mark, says nothing.
 COUNTS = """
-    SELECT k, c, sum(n_inside) AS n_inside, sum(n_terminal) AS n_terminal
-    FROM (SELECT k, c, n_inside, n_stopped AS n_terminal FROM {places} WHERE f IS NULL
-          UNION ALL SELECT k, c, 0L, 1L FROM {finals} WHERE NOT marked AND NOT at_limit)
+    SELECT k, c, sum(n_inside) AS n_inside, sum(n_stopped + n_ended) AS n_terminal, sum(n_stopped) AS n_stopped
+    FROM (SELECT k, c, n_inside, n_stopped, 0L AS n_ended FROM {places} WHERE f IS NULL
+          UNION ALL SELECT k, c, 0L, 0L, n FROM {finals} WHERE NOT marked AND NOT at_limit)
     GROUP BY k, c
 """
 
@@ -106,7 +107,7 @@ ENDINGS = """
 #: Final trigrams that are never terminal or have a mark, and final words that are the beginning of a usual word of their place. Texts
 #: whose first word usually follows their end were moved round, but not a summary at its limit or a lone capital at the end.
 CUT = r"""
-    WITH seen AS (SELECT f.*, coalesce(n.n_inside, 0) AS n_inside, coalesce(n.n_terminal, 0) AS n_terminal FROM {finals} f LEFT JOIN {counts} n ON f.k = n.k AND f.c = n.c),
+    WITH seen AS (SELECT f.*, coalesce(n.n_inside, 0) AS n_inside, coalesce(n.n_terminal, 0) AS n_terminal, coalesce(n.n_stopped, 0) AS n_stopped FROM {finals} f LEFT JOIN {counts} n ON f.k = n.k AND f.c = n.c),
     open AS (
         SELECT * FROM seen WHERE NOT marked AND n_inside >= {least} AND n_terminal < {share} * (n_inside + n_terminal)
         UNION ALL
@@ -117,7 +118,7 @@ CUT = r"""
         SELECT u.* FROM seen u LEFT ANTI JOIN {endings} e ON u.c = e.c
         LEFT SEMI JOIN {counts} m ON u.k = m.k AND m.c <> u.c AND m.c LIKE '~%' AND m.n_inside + m.n_terminal >= 5 * (u.n_inside + u.n_terminal) AND m.n_inside + m.n_terminal >= {least}
         WHERE NOT u.marked AND u.n_inside < {least} AND u.c RLIKE r'^~\p{{L}}{{0,3}}$')
-    SELECT id, field FROM seen WHERE marked AND NOT (n_inside = 0 AND n_terminal >= {ended})
+    SELECT id, field FROM seen WHERE marked AND NOT (n_inside = 0 AND n_stopped >= {ended})
     UNION
     SELECT o.id, o.field FROM open o
     LEFT ANTI JOIN (SELECT k, c FROM (SELECT k, c, n_inside, sum(n_inside) OVER (PARTITION BY k) AS n_all FROM {counts}) WHERE n_inside >= {least} AND n_inside >= {around} * n_all) r
