@@ -20,6 +20,9 @@ RECENT = "recent AS (SELECT id FROM runs WHERE started_at >= (SELECT max(started
 LEXICON = {"bid": r"(?i)\b(bid|takeover|opa|acquisition|aquisição|rachat|Übernahme|bud|ostotarjous)\b", "loans": r"(?i)\b(loans?|lån|kredite|crédits|préstamos|prestiti|lainat)\b", "court": r"(?i)\b(court|gericht|tribunal|tribunale|domstol|oikeus|rechter|sąd)\b", "rating": r"(?i)\b(downgraded|dégradée|declassato|rebaixada|stuft)\b"}
 RULES = [(1, "domain", "mevapress.example"), (2, "domain", "gola.example"), (3, "url", "/story.php"), (4, "title", r"(?i)\b(video|updated)\b"), (5, "title", r"(?i)^live:")]
 
+#: Redirect hosts of the test tables beside the usual ones.
+HOSTS = [*U.REDIRECT_HOSTS, "search.example"]
+
 Q: dict = {}
 SQL: dict[str, str] = {}
 
@@ -59,30 +62,41 @@ _CANON = f"""
     WITH {ITEMS}, w AS (SELECT id, {_UNWRAPPED} AS u FROM (SELECT id, trim(raw_link) AS u FROM i)),
     p AS (SELECT id, u, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_replace({_AUTH}, '^www\\.', '') AS host,
           lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
-          list_sort(list_filter(string_split(regexp_extract(u, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(string_split(x, '=')[1]), 'utm_') AND lower(string_split(x, '=')[1]) NOT IN ({_TRACK}))) AS keep FROM w),
-    q AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/index\\.html?$', '/'), '(.)/$', '\\1'), '/amp/?$', '') AS tidy FROM p)
+          list_sort(list_filter(string_split(regexp_extract(u, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(string_split(x, '=')[1]), 'utm_') AND lower(string_split(x, '=')[1]) NOT IN ({_TRACK}))) AS raw FROM w),
+    k AS (SELECT *, list_transform(list_sort(list_transform(raw, lambda x: {{'k': url_decode(replace(string_split(x, '=')[1], '+', ' ')), 'v': url_decode(replace(CASE WHEN contains(x, '=') THEN substr(x, strpos(x, '=') + 1) ELSE '' END, '+', ' '))}})),
+          lambda x: replace(url_encode(x.k), '%20', '+') || '=' || replace(url_encode(x.v), '%20', '+')) AS keep FROM p),
+    q AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/index\\.html?$', '/'), '(.)/$', '\\1'), '/amp/?$', '') AS tidy FROM k)
     SELECT id, scheme || '://' || host || CASE WHEN tidy = '' THEN '/' ELSE tidy END || CASE WHEN len(keep) > 0 THEN '?' || array_to_string(keep, '&') ELSE '' END AS url FROM q"""
 
 
 @query("fn_unwrap_redirect", f"WITH {ITEMS} SELECT id, {_UNWRAPPED} AS url FROM (SELECT id, raw_link AS u FROM i)")
 def fn_unwrap_redirect(spark, sf):
     """Target of every raw link."""
-    return ledger.items(spark, sf, "raw_link").select("id", U.unwrap_redirect(F.col("raw_link")).alias("url"))
+    return ledger.items(spark, sf, "raw_link").select("id", U.unwrap_redirect(F.col("raw_link"), HOSTS).alias("url"))
 
 
 @query("fn_canonical_url", _CANON)
 def fn_canonical_url(spark, sf):
     """Canonical address of every raw link."""
-    return ledger.items(spark, sf, "raw_link").select("id", U.canonical_url(F.col("raw_link")).alias("url"))
+    return ledger.items(spark, sf, "raw_link").select("id", U.canonical_url(F.col("raw_link"), HOSTS).alias("url"))
+
 
+_PATH = "regexp_extract(canonical_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 
-@query("fn_url_year", f"WITH {ITEMS} SELECT id, CAST(list_min(list_filter(list_transform(string_split_regex(regexp_extract(canonical_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '[/\\-_.]'), lambda x: TRY_CAST(CASE WHEN regexp_full_match(x, '(19|20)[0-9]{{2}}') THEN x END AS INTEGER)), lambda y: y BETWEEN 1990 AND 2100)) AS INTEGER) AS year FROM i".replace("{{2}}", "{2}"))
+
+@query("fn_url_year", f"WITH {ITEMS} SELECT id, CAST(list_min(list_filter(list_transform(regexp_extract_all({_PATH}, '(^|[-/_.])((19|20)[0-9][0-9])([-/_.]|$)', 2), lambda x: CAST(x AS INTEGER)), lambda y: y BETWEEN 1990 AND 2100)) AS INTEGER) AS year FROM i")
 def fn_url_year(spark, sf):
     """Publication year written into every address."""
     return ledger.items(spark, sf, "canonical_url").select("id", U.url_year(F.col("canonical_url")).alias("year"))
 
 
-@query("fn_url_date")
+_DATED = " UNION ALL ".join(
+    f"SELECT id, unnest(regexp_extract_all(p, '{pattern}')) AS x, '{form}' AS form FROM (SELECT id, {_PATH} AS p FROM i)"
+    for pattern, form in (("(^|[-/_.])(19|20)[0-9]{2}[-/_.][0-9]{2}[-/_.][0-9]{2}([-/_.]|$)", "ymd"), ("(^|[-/_])[0-9]{2}[.][0-9]{2}[.](19|20)[0-9]{2}([-/_.]|$)", "dmy"), ("(^|[-/_])(19|20)[0-9]{6}([-/_]|$)", "ymd"))
+)
+
+
+@query("fn_url_date", f"WITH {ITEMS}, c AS ({_DATED}), e AS (SELECT id, form, regexp_replace(x, '[^0-9]', '', 'g') AS d FROM c), b AS (SELECT id, min(TRY_CAST(CASE form WHEN 'ymd' THEN d[1:4] || '-' || d[5:6] || '-' || d[7:8] ELSE d[5:8] || '-' || d[3:4] || '-' || d[1:2] END AS DATE)) AS day FROM e GROUP BY 1) SELECT i.id, b.day FROM i LEFT JOIN b ON b.id = i.id")
 def fn_url_date(spark, sf):
     """Publication date written into every address."""
     return ledger.items(spark, sf, "canonical_url").select("id", U.url_date(F.col("canonical_url")).alias("day"))
@@ -109,7 +123,10 @@ def fn_strip_html(spark, sf):
     return ledger.items(spark, sf, "summary").select("id", T.strip_html(F.col("summary")).alias("text"))
 
 
-@query("fn_trailing_date")
+_DM = r"regexp_extract(title, '\s[-–]\s(0[1-9]|[12][0-9]|3[01])/(0[1-9]|1[0-2])\s*$', {})"
+
+
+@query("fn_trailing_date", f"WITH {ITEMS}, r AS (SELECT DISTINCT id AS run_id, started_at FROM runs), t AS (SELECT i.id, CAST(started_at AS DATE) AS p, {_DM.format(2)} || '-' || {_DM.format(1)} AS md FROM i JOIN r USING (run_id)), u AS (SELECT id, p, TRY_CAST(year(p) || '-' || md AS DATE) AS a, TRY_CAST((year(p) - 1) || '-' || md AS DATE) AS b FROM t) SELECT id, CASE WHEN a <= p THEN a WHEN b <= p THEN b END AS day FROM u")
 def fn_trailing_date(spark, sf):
     """Date at the end of a headline, against the start of its run."""
     runs = _runs(spark, sf).select(F.col("id").alias("run_id"), "started_at")

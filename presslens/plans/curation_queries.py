@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from presslens.functions import titles as T
 from presslens.functions import urls as U
 from presslens.operators import clusters, ledger, matching, scheduling
-from presslens.plans.core_queries import ITEMS, LEDGER, LEXICON, MATCHES, RECENT, RULES, _runs, query
-from presslens.session import ensure_checkpoint_dir, table
+from presslens.plans.core_queries import HOSTS, ITEMS, LEDGER, LEXICON, MATCHES, RECENT, RULES, _runs, query
+from presslens.session import cut, ensure_checkpoint_dir, table
 from presslens.sources import feeds, store
 from presslens.streaming import incremental
 
@@ -34,7 +34,7 @@ def s4(spark, sf):
     """Every item written as a feed entry and parsed back."""
     i = ledger.items(spark, sf, "run_id", "title", "raw_link", "summary")
     entry = F.concat(F.lit("<rss><channel><title>f</title><item><title>"), _xml("title"), F.lit("</title><link>"), _xml("raw_link"), F.lit("</link><description>"), _xml("summary"), F.lit("</description></item></channel></rss>"))
-    return feeds.parse_rss(i.select("id", "run_id", entry.alias("doc"))).select("id", "run_id", "title", "link")
+    return feeds.parse_rss(i.select("id", "run_id", entry.alias("doc")), hosts=HOSTS).select("id", "run_id", "title", "link")
 
 
 @query("s6_articles", f"SELECT DISTINCT gdelt_id, {_CLEAN.format(c='title')} AS title, url AS link, left(lower(language), 12) AS lang, sourcecountry AS country FROM gdelt")
@@ -315,11 +315,21 @@ def t3(spark, sf):
     return m.withColumn("k", F.row_number().over(Window.partitionBy("name_id").orderBy(F.desc("id")))).where("k <= 2000").select("name_id", "id")
 
 
-@query("t1_export_order", f"WITH {ITEMS} SELECT id, alert_candidate, run_id, row_number() OVER (ORDER BY alert_candidate DESC, run_id DESC, id) AS place FROM i WHERE status = 'candidate' QUALIFY place <= 100")
+@query("t1_export_order", f"WITH {ITEMS}, {MATCHES}, c AS (SELECT id, max(confidence) AS best FROM i JOIN m ON m.item_id = i.id GROUP BY 1) SELECT id, alert_candidate, run_id, row_number() OVER (ORDER BY alert_candidate DESC, run_id DESC, coalesce(best, 0) DESC, id) AS place FROM i LEFT JOIN c USING (id) WHERE status = 'candidate'")
 def t1(spark, sf):
-    """First hundred candidates in export order, by a bounded top-k."""
-    top = ledger.items(spark, sf, "alert_candidate", "run_id", "status").where("status = 'candidate'").orderBy(F.desc("alert_candidate"), F.desc("run_id"), "id").limit(100)
-    return top.select("id", "alert_candidate", "run_id", F.row_number().over(Window.orderBy(F.desc("alert_candidate"), F.desc("run_id"), "id")).alias("place"))
+    """Every candidate with its place in the export: alerts first, then the newest, then the surest.
+
+    The global order is a range-partitioned sort; a place is the rank in its partition plus the rows of the partitions
+    before, so no task sees more than its range.
+    """
+    best = table(spark, sf, "matches").groupBy(F.col("item_id").alias("id")).agg(F.max("confidence").alias("best"))
+    rows = ledger.items(spark, sf, "alert_candidate", "run_id", "status").where("status = 'candidate'").join(best, "id", "left")
+    order = [F.desc("alert_candidate"), F.desc("run_id"), F.desc(F.coalesce("best", F.lit(0.0))), F.asc("id")]
+    # the ranges come from a sample; the checkpoint keeps them the same for both uses
+    ranged = cut(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).select("id", "alert_candidate", "run_id", "best", "part"))
+    sizes = ranged.groupBy("part").count()  # one row a partition
+    before = sizes.withColumn("before", F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("before", F.lit(0)).alias("before"))
+    return ranged.join(before, "part").select("id", "alert_candidate", "run_id", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(*order))).alias("place"))
 
 
 @query("u1_token_overlap", f"WITH {ITEMS}, c AS (SELECT cluster_id, min(id) AS a, max(id) AS b FROM i WHERE cluster_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) SELECT c.cluster_id, len(list_intersect(list_distinct(string_split(x.title_key, ' ')), list_distinct(string_split(y.title_key, ' ')))) AS n_common, len(list_distinct(list_concat(string_split(x.title_key, ' '), string_split(y.title_key, ' ')))) AS n_all FROM c JOIN i x ON x.id = c.a JOIN i y ON y.id = c.b")

@@ -13,10 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that cuts lineage: the cluster's ``spark.checkpoint.dir`` where it is set, a local one only where it is not."""
+    """The folder that cuts lineage: the cluster's ``spark.checkpoint.dir``. A folder of this machine serves only a local
+    session without that setting (tests); on a cluster the setting is required."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="presslens-ckpt-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="presslens-ckpt-"))
     return context.getCheckpointDir()
 
 

@@ -23,13 +23,13 @@ ARTICLES = "articles array<struct<url:string, url_mobile:string, title:string, s
 SUMMARY_LENGTH = 600
 
 
-def parse_rss(docs: DataFrame, doc: str = "doc", route: str = "rss") -> DataFrame:
-    """One mention per entry of each RSS document, all other columns of ``docs`` kept."""
+def parse_rss(docs: DataFrame, doc: str = "doc", route: str = "rss", hosts: list[str] | None = None) -> DataFrame:
+    """One mention per entry of each RSS document, all other columns of ``docs`` kept; ``hosts`` are those whose links only redirect."""
     parsed = docs.withColumn("__p", F.from_xml(doc, RSS, {"mode": "PERMISSIVE", "rowTag": "rss"}))
     entries = parsed.select(*[c for c in docs.columns if c != doc], F.col("__p.channel.title").alias("feed_title"), F.explode("__p.channel.item").alias("e"))
     title, source = strip_html(F.col("e.title")), F.col("e.source._VALUE")
     named = F.endswith(title, F.concat(F.lit(" - "), source))
-    link = unwrap_redirect(F.col("e.link"))
+    link = unwrap_redirect(F.col("e.link"), hosts)
     return entries.select(
         *[c for c in docs.columns if c != doc],
         F.when(named, F.trim(F.left(title, F.length(title) - F.length(source) - 3))).otherwise(title).alias("title"),

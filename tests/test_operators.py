@@ -1,6 +1,7 @@
 """Operators against plain sequential restatements on small random inputs; sinks and streams on small folders."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -30,34 +31,35 @@ def test_clusters_equal_sequential(spark):
     assert got == {i: c for (_, i), c in want.items()}
 
 
-def test_rotation_equals_sequential(spark):
+def test_rotation_keeps_its_promises(spark):
+    """Never over the cap, never over a name's share; a job left out is behind every kept one it could have replaced."""
     rng = random.Random(2)
-    for cap, share, slots in ((5, 2, 2), (8, 0, 3), (20, 1, 0)):
-        jobs = [(f"q{i}", rng.choice(["x", "y", "z", None]), rng.randint(0, 3), float(-rng.randint(0, 9)), rng.randint(0, 3), f"q{i:02}", rng.random() < 0.3) for i in range(16)]
-        order = sorted(jobs, key=lambda j: (j[2], j[3], j[4], j[5]))
-        live, asleep = [j for j in order if not j[6]], [j for j in order if j[6]]
-        kept, taken = set(), {}
-
-        def take(seq, limit):
-            n = 0
-            for j in seq:
-                if n >= limit:
-                    break
-                if share > 0 and j[1] is not None:
-                    if taken.get(j[1], 0) >= share:
-                        continue
-                    taken[j[1]] = taken.get(j[1], 0) + 1
-                kept.add(j[0])
-                n += 1
-            return n
-
-        if len(jobs) <= cap:
-            kept = {j[0] for j in jobs}
-        else:
-            reserve = min(slots, len(asleep), cap - 1)
-            take(asleep, cap - take(live, cap - reserve))
-        df = spark.createDataFrame(jobs, "label string, name_id string, tier int, waited double, prio int, ord string, dormant boolean")
-        assert {r["label"] for r in scheduling.rotate(df, cap, share, slots).collect() if r["kept"]} == kept
+    for cap, share, slots in ((5, 2, 2), (8, 0, 3), (7, 1, 0), (3, 1, 9), (40, 1, 2)):
+        rows = [(f"q{i}", rng.choice(["x", "y", "z", None]), rng.randint(0, 3), float(-rng.randint(0, 9)), rng.randint(0, 3), f"q{i:02}", rng.random() < 0.4) for i in range(24)]
+        df = spark.createDataFrame(rows, "label string, name_id string, tier int, waited double, prio int, ord string, dormant boolean")
+        got = {r["label"]: r["kept"] for r in scheduling.rotate(df, cap, share, slots).collect()}
+        assert got.keys() == {r[0] for r in rows}
+        if cap >= len(rows):
+            assert all(got.values())
+            continue
+        urgency = {r[0]: r[2:6] for r in rows}
+        inside = [r for r in rows if got[r[0]]]
+        held = Counter(r[1] for r in inside if r[1] is not None)
+        full = {n for n, k in held.items() if share and k >= share}
+        assert len(inside) <= cap and (not share or max(held.values(), default=0) <= share)
+        for asleep in (False, True):
+            ins, outs = ([r for r in rows if r[6] is asleep and got[r[0]] is kept] for kept in (True, False))
+            free = [r for r in outs if r[1] not in full]
+            # among jobs of one kind whose name has room left, the order of urgency decides
+            assert not free or all(urgency[i[0]] <= min(urgency[o[0]] for o in free) for i in ins if i[1] not in full)
+            for o in outs:
+                if o[1] in full:
+                    assert all(urgency[i[0]] < urgency[o[0]] for i in ins if i[1] == o[1])
+        reserve = min(slots, sum(r[6] for r in rows), cap - 1)
+        assert sum(not r[6] for r in inside) <= cap - reserve
+        # places stay empty only when nothing is left that may take one
+        if len(inside) < cap:
+            assert all(r[1] in full for r in rows if r[6] and not got[r[0]])
 
 
 def test_match_guards(spark):
