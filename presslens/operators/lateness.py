@@ -1,11 +1,14 @@
-"""Problem 2, late and out-of-order events: an event-day by arrival-day triangle, in SQL only.
+"""Problem 2, late and out-of-order events: an event-day by arrival-hour triangle, in SQL only.
 
-A cell counts the distinct items of one day of publication that were first seen on one day of arrival. Cumulative
-sums over the arrivals give every corrected revision of a day's count. A day closes ``CLOSE_HOURS`` after its end;
-arrivals from then on correct it, until ``CUTOFF_HOURS`` after its end, and later ones are dropped.
+A cell counts the distinct items of one day of publication by their period of arrival: all arrivals before the day
+closes, ``CLOSE_HOURS`` after its end, are period 0, each hour from then on is one more, and all that come
+``CUTOFF_HOURS`` after the day's end or later share the last. Cumulative sums over the arrivals give every corrected
+revision of a day's count; arrivals beyond the cut-off are filtered from them. Each cell has the effect of its arrivals
+on the period (``on_time``, ``late``, ``dropped``); the cases are the items of the cells that came too late.
 
 Items without a readable time of publication or of first sight are no cases; an empty table gives no rows; repeated
-deliveries count once.
+deliveries count once. The triangle has at most ``CUTOFF_HOURS`` cells a day, aggregated on the map side, so a day of
+many items makes no hot group.
 """
 
 from __future__ import annotations
@@ -26,36 +29,48 @@ _PLACED = """
     WHERE published_at_us IS NOT NULL AND first_seen_at_us IS NOT NULL
 """
 
-FOUND = f"""
-    SELECT DISTINCT id, date_format(date_add(DATE'1970-01-01', CAST(day_end_us div 86400000000 - 1 AS INT)), 'yyyy-MM-dd') AS period,
-           CASE WHEN seen_us < day_end_us + {{cutoff}} * 3600000000 THEN 'late' ELSE 'dropped' END AS effect
-    FROM ({_PLACED}) WHERE seen_us >= day_end_us + {{close}} * 3600000000
+#: Every item in its cell.
+PLACED = f"""
+    SELECT id, day_end_us, CASE WHEN behind < {{close}} * 3600000000 THEN 0
+                                ELSE 1 + (least(behind, {{cutoff}} * 3600000000) - {{close}} * 3600000000) div 3600000000 END AS arrival_hour
+    FROM (SELECT *, seen_us - day_end_us AS behind FROM ({_PLACED}))
 """
 
-#: One row per day of publication and day of arrival: the first arrivals until closing are revision 0.
-TRIANGLE = f"""
-    WITH cells AS (
-        SELECT day_end_us, CASE WHEN seen_us < day_end_us + {{close}} * 3600000000 THEN 0
-                                ELSE 1 + (seen_us - day_end_us - {{close}} * 3600000000) div 3600000000 END AS arrival_hour,
-               count(DISTINCT id) AS n_items
-        FROM ({_PLACED}) WHERE seen_us < day_end_us + {{cutoff}} * 3600000000
-        GROUP BY 1, 2)
-    SELECT date_format(date_add(DATE'1970-01-01', CAST(day_end_us div 86400000000 - 1 AS INT)), 'yyyy-MM-dd') AS period, arrival_hour, n_items,
-           sum(n_items) OVER (PARTITION BY day_end_us ORDER BY arrival_hour ROWS UNBOUNDED PRECEDING) AS n_corrected,
+#: The triangle: one row per day of publication and period of arrival, with the sum up to it.
+CELLS = """
+    SELECT day_end_us, arrival_hour, n_items, sum(n_items) OVER (PARTITION BY day_end_us ORDER BY arrival_hour ROWS UNBOUNDED PRECEDING) AS n_corrected,
+           CASE WHEN arrival_hour = 0 THEN 'on_time' WHEN arrival_hour <= {cutoff} - {close} THEN 'late' ELSE 'dropped' END AS effect,
+           date_format(date_add(DATE'1970-01-01', CAST(day_end_us div 86400000000 - 1 AS INT)), 'yyyy-MM-dd') AS period
+    FROM (SELECT day_end_us, arrival_hour, count(DISTINCT id) AS n_items FROM {placed} GROUP BY 1, 2)
+"""
+
+REVISIONS = """
+    SELECT period, arrival_hour, n_items, n_corrected,
            row_number() OVER (PARTITION BY day_end_us ORDER BY arrival_hour) - 1 AS revision,
            lead(arrival_hour) OVER (PARTITION BY day_end_us ORDER BY arrival_hour) IS NULL AS is_latest
-    FROM cells
+    FROM {cells} WHERE effect <> 'dropped'
+"""
+
+FOUND = """
+    SELECT DISTINCT p.id, c.period, c.effect
+    FROM {placed} p JOIN {cells} c ON p.day_end_us = c.day_end_us AND p.arrival_hour = c.arrival_hour WHERE c.effect <> 'on_time'
 """
 
 
+def _triangle(spark: SparkSession, items: DataFrame, close: int, cutoff: int) -> tuple[DataFrame, DataFrame]:
+    placed = spark.sql(PLACED, items=items, close=close, cutoff=cutoff)
+    return placed, spark.sql(CELLS, placed=placed, close=close, cutoff=cutoff)
+
+
 def late_cases(spark: SparkSession, items: DataFrame, close: int = CLOSE_HOURS, cutoff: int = CUTOFF_HOURS) -> DataFrame:
-    """(id, period, effect) of every item that came after its period closed."""
-    return spark.sql(FOUND, items=items, close=close, cutoff=cutoff)
+    """(id, period, effect) of every item of the triangle's cells that came after their period closed."""
+    placed, cells = _triangle(spark, items, close, cutoff)
+    return spark.sql(FOUND, placed=placed, cells=cells)
 
 
 def revisions(spark: SparkSession, items: DataFrame, close: int = CLOSE_HOURS, cutoff: int = CUTOFF_HOURS) -> DataFrame:
     """Every revision of every period's count, in order of arrival; beyond the cut-off nothing counts."""
-    return spark.sql(TRIANGLE, items=items, close=close, cutoff=cutoff)
+    return spark.sql(REVISIONS, cells=_triangle(spark, items, close, cutoff)[1])
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
