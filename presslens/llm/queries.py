@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_plain": lookalikes.p7_plain,
         "p8_ids": encode.p8_ids,
         "p9_found": leaks.p9_found,
+        "p9_altered": leaks.p9_altered,
         "p10_found": personal.p10_found,
         "p10_redacted": personal.p10_redacted,
     }
