@@ -288,16 +288,33 @@ def _restorer(packed: tuple[tuple[str, bytes], ...]) -> Restorer:
     return Restorer(dict(packed))
 
 
+def labelled_sample(items: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """At most ``rows`` labelled rows of each language: those whose ids have the smallest hashes.
+
+    A count per language gives the share of hashes that holds about twice as many rows as are due, which the scan
+    then tests; so no task meets more than that of a language, however large the table is and whatever its languages'
+    shares are. A language of which chance leaves too few under its threshold just has a smaller sample.
+    """
+    h = F.xxhash64("id")
+    labelled = items.where(F.col("lang").isin(*LANGUAGES) & F.col("id").isNotNull())
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
+    least, space = -(2**63), 2**64
+    under = F.lit(False)
+    for lang, n in sorted(counts.items()):
+        share = min(1.0, (2 * rows + 100) / n)
+        under = under | ((F.col("lang") == lang) & (h <= F.lit(min(2**63 - 1, least + int(share * space)))))
+    ranked = labelled.where(under).select("lang", *columns, h.alias("h")).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", *columns)))
+    return ranked.where(F.col("n") <= rows)
+
+
 def fit_dictionaries(items: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[tuple[str, bytes], ...]:
-    """Dictionary content of each language from its ``rows`` labelled rows of smallest hash, without the unclean ones."""
+    """Dictionary content of each language from its sample of ``rows`` labelled rows, without the unclean ones."""
     text = F.concat_ws("\n", "summary", "title", "source_name").alias("text")
-    labelled = items.where(F.col("lang").isin(*LANGUAGES)).select("lang", text, F.xxhash64("id").alias("h"))
-    # the rank limit is pushed below the shuffle, so only the sample moves and only the sample is searched
-    ranked = labelled.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("n") <= rows).where(~F.col("text").rlike(_UNCLEAN_JAVA))
+    sample = labelled_sample(items.select("id", "lang", text), rows, "text").where(~F.col("text").rlike(_UNCLEAN_JAVA))
     by: dict[str, list[str]] = {}
-    for r in sorted(ranked.select("lang", "n", "text").collect()):
+    for r in sorted(sample.select("lang", "n", "text").collect()):
         by.setdefault(r[0], []).append(r[2])
-    return tuple((k, "\n".join(dict.fromkeys(v)).encode("utf-8", "replace")[-110_000:]) for k, v in sorted(by.items()))
+    return tuple((k, "\n".join(dict.fromkeys(v)).encode("utf-8", "replace")) for k, v in sorted(by.items()))
 
 
 def restore_fields(rows: DataFrame, key: str, fields: tuple[str, ...], dictionaries: tuple[tuple[str, bytes], ...]) -> DataFrame:

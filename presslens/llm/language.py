@@ -19,10 +19,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.garbled import LANGUAGES, Restorer, _restorer, fit_dictionaries
+from presslens.llm.garbled import LANGUAGES, Restorer, _restorer, fit_dictionaries, labelled_sample
 from presslens.llm.lookalikes import has_clusters, plain
 from presslens.session import table
 
@@ -244,9 +244,8 @@ def normal_label(label: Column) -> Column:
 
 def fit_rows(items: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
     """Fit on at most ``rows`` labelled rows of each language, those whose ids have the smallest hashes."""
-    labelled = items.where(F.col("lang").isin(*LANGUAGES)).select("lang", "title", "summary", F.xxhash64("id").alias("h"))
-    ranked = labelled.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "title", "summary"))).where(F.col("n") <= rows)
-    return fit([(r[0], r[1], r[2]) for r in sorted(ranked.select("lang", "title", "summary", "h").collect(), key=lambda r: (r[3], r[0], r[1] or "", r[2] or ""))])
+    sample = labelled_sample(items.select("id", "lang", "title", "summary"), rows, "title", "summary")
+    return fit([(r[0], r[1], r[2]) for r in sorted(sample.select("lang", "title", "summary", "h").collect(), key=lambda r: (r[3], r[0], r[1] or "", r[2] or ""))])
 
 
 def identify(items: DataFrame, network: Network | None, dictionaries: tuple[tuple[str, bytes], ...]) -> DataFrame:

@@ -5,8 +5,9 @@ patterns, gazetteers and contexts, vote for or against each span or abstain. Exp
 of a bounded sample of documents estimates how reliable every labeller is, with no labelled data; the posteriors
 then train a logistic span classifier over votes and shape features, which decides every span of every document.
 
-The sample is the ``SAMPLE_DOCS`` documents of smallest hash (the only bounded part: it fits 200 numbers); windows,
-candidates and decisions cover whole texts. Priors stand in where the sample holds too few spans, so tiny and empty
+The sample is the ``SAMPLE_DOCS`` documents of smallest hash (the only bounded part: it fits 200 numbers); candidates
+and decisions cover whole texts and values of any length. A context labeller looks for its cue in the line before a
+span, at the distance its pattern states (at most 60 characters): that is what makes a cue one of the span. Priors stand in where the sample holds too few spans, so tiny and empty
 tables work. Null and blank texts give no spans and come back unchanged; repeated rows give the same spans; of
 overlapping spans the one of higher probability, then the longer, then the earlier wins. Rows are never shuffled
 but for the final distinct of the short spans.
@@ -46,7 +47,8 @@ _CAP = r"[A-ZÀ-ÖØ-ÞĄĆĘŁŃŚŹŻΑ-ΫΆΈΉΊΌΎΏ]"
 _CAPWORD = re.compile(rf"(?<!\w){_CAP}[\w’']+")
 _NAME = re.compile(rf"{_CAP}[\w’']+(?:-{_CAP}\w+)?(?:\s{{1,2}}{_CAP}\.)*(?:\s{{1,2}}{PARTICLES}(?=\s))?\s{{1,2}}{_CAP}[\w’']+(?:-{_CAP}\w+)?")
 _AT = re.compile(r"@|\s?[(\[{]\s?(?:at|@)\s?[)\]}]\s?|\s(?:at|AT)\s(?=[\w-]+\s(?:dot|DOT)\s)", re.I)
-_LOCAL = re.compile(r"[\w+-]+(?:(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|\sdot\s)[\w+-]+)*$", re.I)
+#: The part before the at-sign, matched on the reversed text from the sign back, so that it may have any length.
+_LOCAL_BACK = re.compile(r"[\w+-]+(?:(?:\.|\s?[)\]}]\s?tod\s?[(\[{]\s?|\stod\s)[\w+-]+)*", re.I)
 _DOMAIN = re.compile(r"[\w-]+(?:(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|\sdot\s)[\w-]+)+", re.I)
 _RUN = re.compile(r"(?:\+|\(\+?|(?<![\w.]))\d(?:[\d()/.\-  ]{5,}\d|\d{6,})")
 _ID = re.compile(r"(?<![\w-])(?:[A-Z]{6}\d\d[A-Z]\d\d[A-Z]\d{3}[A-Z]|\d{6}[-+A]\d{3}[A-Z0-9]|\d{8}-\d{4}|\d{3}([- ])\d\d\1\d{4}|\d{8}-?[A-Z]|\d{10,11})(?![\w-])")
@@ -77,14 +79,28 @@ def _shape(text: str) -> str:
     return re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", text)))
 
 
+def _words_back(text: str, end: int, words: int = 9) -> int:
+    """Where the last words before a place begin: as many as a street's name with its article and comma can have."""
+    at = end - 1
+    for _ in range(words):
+        at = max(text.rfind(" ", 0, at), text.rfind("\n", 0, at))
+        if at <= 0:
+            return 0
+    return at
+
+
 def candidates(text: str) -> list[tuple[int, int, str, tuple[int, ...]]]:
     """(start, end, type, votes) of every span that may be personal information; 1 for, -1 against, 0 abstains."""
-    found = []
+    found, backwards = [], None
     for m in _AT.finditer(text):
-        local, domain = _LOCAL.search(text, max(0, m.start() - 80), m.start()), _DOMAIN.match(text, m.end())
-        if not local or not domain:
+        domain = _DOMAIN.match(text, m.end())
+        if not domain:
+            continue
+        backwards = backwards or text[::-1]
+        local = _LOCAL_BACK.match(backwards, len(text) - m.start())
+        if not local:
             continue
-        a, b = local.start(), domain.end()
+        a, b = len(text) - local.end(), domain.end()
         value = text[a:b]
         top = re.split(r"\W+", value.rstrip(")]} "))[-1]
         found.append((a, b, "email", (1, 1 if top.isalpha() and 2 <= len(top) <= 12 else -1, 1 if re.search(r"mail|post|κοιν|to |contact|scri|an |\bat |<|:|, ", text[max(0, a - 25) : a], re.I) else 0, -1 if a and text[a - 1] in "/@" else 0)))
@@ -117,7 +133,7 @@ def candidates(text: str) -> list[tuple[int, int, str, tuple[int, ...]]]:
         found.append((a, b, "phone", (1 if known else -1, 1 if cue else 0, -1 if other else 0, -1 if dated or _MONEY.match(text, b) else 0, -1 if idish else 0)))
     for m in _NUMBER.finditer(text):
         a, b = m.span()
-        before, after = _BEFORE.search(text, max(0, a - 60), a), None
+        before, after = _BEFORE.search(text, _words_back(text, a), a), None
         if before:
             a = before.start()
             b = _FLAT.match(text, b).end()

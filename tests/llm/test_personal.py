@@ -14,6 +14,8 @@ CASES = [
     ("Elena Bistro Group opens 24 sites. The deal on Lewonor Street closed in 2020.", set()),
     ("Org.nr 556405-4532. ISBN 978-0-0703-0703-10. Case no. 2026-7593/743168. Invoice 000737338-7548. Turnover rose to 25 200 200 euro.", set()),
     ("Follow @fuhonordesk for 8388.3 million updates, due 2014-11-14.", set()),
+    (f"x {'a' * 200}@mail.example.com", {("email", "a" * 200 + "@mail.example.com")}),
+    (f"wohnt {'Ab' + 'c' * 300}straße 7", {("address", "Ab" + "c" * 300 + "straße 7")}),
     ("", set()), (None, set()), (" ", set()), ("1" * 50_000, set()), ("( ( 12 @ @@ a@ @b 7", set()),
 ]
 
