@@ -3,8 +3,9 @@
 A record's text is the concatenation of its *grams*. For a title key these are the pairs of its rarest words, rare
 ones first, a gapped form of two-word substrings: two keys of Jaccard similarity 0.6 share at least two words within
 these prefixes (prefix filter with two common words), so every near-equal pair shares a gram, in whatever order and
-with whatever words between. (Contiguous substrings would lose keys whose words changed alternately or moved.) The
-page address is one more gram of its own.
+with whatever words between. Contiguous substrings would lose keys whose words changed alternately or moved; the README
+says how many. Keys of more than ``LONG`` words have single words as grams, as their pairs would grow with the square of
+their length; keys near that size have both.
 
 Grams are spread by hash over buckets. In a bucket the batches are taken in order of arrival: a batch's suffix array
 is its grams in sorted order; its substrings are binary-searched in the arrays of all earlier segments and in its
@@ -12,10 +13,10 @@ own; then it joins the segments, of which any two of like size are merged. Nothi
 by binary search. Matches that position and size show to be too short are dropped, the rest are summed per pair of
 records (coverage) and verified exactly on the whole word sets.
 
-Exact copies of a key are one class, so copies never multiply the work; only the result expands them. How rare a word
-is follows from the list of words that make up over 1/``HOT`` of all words, at most ``HOT`` words however large the
-corpus. Nulls: a null key or address has no grams; fewer than four distinct words make no key; the same item delivered
-twice is one item; an empty table gives no rows.
+Exact copies of a key are one class and so are the items of a page, so copies never multiply the work; only the result
+expands them. How rare a word is follows from the list of words that make up over 1/``HOT`` of all words, at most ``HOT``
+words however large the corpus. Nulls: a null key or address has no grams; fewer than four distinct words make no key;
+the same item delivered twice is one item; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SIMILARITY = 0.6
 LEAST_WORDS = 4
 #: A word is hot if it makes up more than 1 / HOT of all words.
 HOT = 4_000
+#: Distinct words from which a key has single words as grams.
+LONG = 24
 #: Rows of grams in a bucket, and in the batches of a bucket; sizes of work only.
 BUCKET_GRAMS, BATCH_GRAMS = 250_000, 20_000
 IGNORED = ("fbclid", "gclid", "ref", "oc")
@@ -52,13 +55,18 @@ def page_key(url: Column) -> Column:
 
 
 @lru_cache(256)
-def _prefix(n: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """(prefix length, first and second positions of its pairs, whether each pair is within the shorter prefix)."""
-    whole = n - math.ceil(SIMILARITY * n - 1e-9) + 2
+def _prefix(n: int, g: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the words of each gram of ``g`` words, whether it is within the shorter prefix) of a key of ``n`` words."""
+    whole = min(n, n - math.ceil(SIMILARITY * n - 1e-9) + g)
     least = 2 * SIMILARITY / (1 + SIMILARITY)  # words in common of two keys of one size, as a share of it
-    short = n - math.ceil(least * n - 1e-9) + 2
-    ij = np.array(list(combinations(range(min(whole, n)), 2)))
-    return whole, ij[:, 0], ij[:, 1], ij[:, 1] < short
+    short = n - math.ceil(least * n - 1e-9) + g
+    at = np.array(list(combinations(range(whole), g)), np.int64).reshape(-1, g)
+    return at, at[:, -1] < short
+
+
+def _sizes(n: int) -> tuple[int, ...]:
+    """Words of the grams of a key of ``n`` words: two keys that can be near-equal have one size in common."""
+    return (1,) if n > LONG else (2, 1) if n > SIMILARITY * LONG else (2,)
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -70,36 +78,34 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _grams(rows: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
-    """(bucket, gram, rec, batch, n, j, short, kind) of (rec, batch, kind, words)."""
+    """(bucket, gram, rec, batch, n, j, short, g) of (rec, batch, words): n words, j the last position of the gram, g its words."""
     keys = np.array(sorted(hot), np.int64)
     counts = np.array([hot[k] for k in keys.tolist()], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rec, batch, kind = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            lists = b.column(3)
+            rec, batch = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            lists = b.column(2)
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
             sizes = np.diff(np.concatenate([[0], ends]))
             for n in np.unique(sizes):
                 at = np.flatnonzero(sizes == n)
                 words = flat[(ends[at] - n)[:, None] + np.arange(n)]
-                if n == 1:
-                    out = [(words[:, 0].view(np.uint64), at, np.zeros(len(at), np.int64), np.ones(len(at), bool))]
-                else:
-                    df = np.zeros(words.shape, np.int64)
-                    if len(keys):
-                        where = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-                        df = np.where(keys[where] == words, counts[where], 0)
-                    words = np.take_along_axis(words, np.lexsort((words, df), axis=1), axis=1)
-                    _, i, j, short = _prefix(int(n))
-                    out = [(_mix(words[:, i], words[:, j]).reshape(-1), np.repeat(at, len(i)), np.tile(j, len(at)), np.tile(short, len(at)))]
-                for gram, row, j, short in out:
+                df = np.zeros(words.shape, np.int64)
+                if len(keys):
+                    where = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+                    df = np.where(keys[where] == words, counts[where], 0)
+                words = np.take_along_axis(words, np.lexsort((words, df), axis=1), axis=1)
+                for g in _sizes(int(n)):
+                    place, short = _prefix(int(n), g)
+                    gram = _mix(words[:, place[:, 0]], words[:, place[:, -1]] if g == 2 else np.full(1, g)).reshape(-1)
+                    k, m = len(place), len(gram)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array((gram % np.uint64(buckets)).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(rec[row]), pa.array(batch[row]), pa.array(np.full(len(row), n, np.int16)), pa.array(j.astype(np.int16)), pa.array(short), pa.array(kind[row].astype(np.int16))],
-                        names=["bucket", "gram", "rec", "batch", "n", "j", "short", "kind"],
+                        [pa.array((gram % np.uint64(buckets)).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(rec[np.repeat(at, k)]), pa.array(batch[np.repeat(at, k)]), pa.array(np.full(m, n, np.int32)), pa.array(np.tile(place[:, -1], len(at)).astype(np.int32)), pa.array(np.tile(short, len(at))), pa.array(np.full(m, g, np.int8))],
+                        names=["bucket", "gram", "rec", "batch", "n", "j", "short", "g"],
                     )
 
-    return rows.select("rec", "batch", "kind", "words").mapInArrow(run, "bucket int, gram bigint, rec bigint, batch bigint, n short, j short, short boolean, kind short")
+    return rows.select("rec", "batch", "words").mapInArrow(run, "bucket int, gram bigint, rec bigint, batch bigint, n int, j int, short boolean, g byte")
 
 
 class Segment:
@@ -120,17 +126,16 @@ class Segment:
         return np.repeat(np.arange(len(gram)), n), np.repeat(left, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
 
-_REST = np.dtype([("rec", np.int64), ("n", np.int16), ("j", np.int16), ("short", bool), ("kind", np.int16)])
+_REST = np.dtype([("rec", np.int64), ("n", np.int32), ("j", np.int32), ("short", bool), ("g", np.int8)])
 
 
 def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether two records can be similar if this gram is made of the first two words they share."""
+    """Whether two records can be similar if this gram is made of the first words they share."""
     n, m = a["n"].astype(np.int64), b["n"].astype(np.int64)
     least = np.ceil(SIMILARITY / (1 + SIMILARITY) * (n + m) - 1e-9)
-    room = 2 + np.minimum(n - 1 - a["j"], m - 1 - b["j"])
+    room = a["g"] + np.minimum(n - 1 - a["j"], m - 1 - b["j"])
     smaller = np.where(n < m, a["short"], np.where(n > m, b["short"], a["short"] & b["short"]))
-    title = smaller & (room >= least) & (np.minimum(n, m) >= SIMILARITY * np.maximum(n, m) - 1e-9)
-    return (a["rec"] != b["rec"]) & (a["kind"] == b["kind"]) & ((a["kind"] == 1) | title)
+    return (a["rec"] != b["rec"]) & (a["g"] == b["g"]) & smaller & (room >= least) & (np.minimum(n, m) >= SIMILARITY * np.maximum(n, m) - 1e-9)
 
 
 def replay(rows: pa.Table) -> pa.Table:
@@ -160,13 +165,16 @@ def replay(rows: pa.Table) -> pa.Table:
             a, b = new.rest[x], segment.rest[y]
             ok = _possible(a, b)
             a, b = a[ok], b[ok]
-            found.append((a["kind"], np.minimum(a["rec"], b["rec"]), np.maximum(a["rec"], b["rec"])))
+            found.append((np.minimum(a["rec"], b["rec"]), np.maximum(a["rec"], b["rec"])))
         segments.append(new)
         while len(segments) > 1 and len(segments[-2].gram) < 2 * len(segments[-1].gram):
             segments[-2:] = [segments[-2].merge(segments[-1])]
-    kind, a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int16), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    pairs, coverage = np.unique(np.stack([kind.astype(np.int64), a, b], axis=1), axis=0, return_counts=True)
-    return pa.table({"kind": pa.array(pairs[:, 0].astype(np.int16)), "a": pa.array(pairs[:, 1]), "b": pa.array(pairs[:, 2]), "coverage": pa.array(coverage)})
+    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    pairs, coverage = np.unique(np.stack([a, b], axis=1), axis=0, return_counts=True)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "coverage": pa.array(coverage)})
+
+
+_PAIRS = "a bigint, b bigint, coverage bigint"
 
 
 def _records(items: DataFrame) -> DataFrame:
@@ -180,9 +188,9 @@ def _records(items: DataFrame) -> DataFrame:
 
 
 def _alike() -> Column:
-    """Exact check of a candidate on the hashes wa and wb of both records."""
+    """Exact check of a candidate on the word hashes wa and wb of both records."""
     common = F.size(F.array_intersect("wa", "wb"))
-    return F.when(F.col("kind") == 1, F.col("wa") == F.col("wb")).otherwise(common >= SIMILARITY * (F.size("wa") + F.size("wb") - common) - 1e-9)
+    return common >= SIMILARITY * (F.size("wa") + F.size("wb") - common) - 1e-9
 
 
 def near_pairs(items: DataFrame) -> DataFrame:
@@ -194,39 +202,37 @@ def near_pairs(items: DataFrame) -> DataFrame:
     tokens = classes.select(F.explode("words").alias("w"))
     n_tokens, n_records = classes.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.count(F.lit(1))).head()
     hot = {r[0]: r[1] for r in tokens.groupBy("w").count().where(F.col("count") > max(1, n_tokens // HOT)).collect()}
-    titles = classes.select("rec", "batch", F.lit(0).cast("short").alias("kind"), "words")
-    pages = base.where(F.col("page").isNotNull()).select(F.col("id").alias("rec"), "batch", F.lit(1).cast("short").alias("kind"), F.slice("page", 1, 1).alias("words"))
     buckets = max(spark.sparkContext.defaultParallelism, 20 * n_records // BUCKET_GRAMS + 1)
-    grams = _grams(titles.unionByName(pages), hot, buckets).repartition(buckets, "bucket")
-    matched = grams.groupBy("bucket").applyInArrow(replay, "kind short, a bigint, b bigint, coverage bigint")
-    candidates = matched.groupBy("kind", "a", "b").agg(F.sum("coverage").alias("coverage"))
-    payload = titles.select("kind", "rec", "words").unionByName(base.where(F.col("page").isNotNull()).select(F.lit(1).cast("short").alias("kind"), F.col("id").alias("rec"), F.col("page").alias("words")))
-    left = payload.select("kind", F.col("rec").alias("a"), F.col("words").alias("wa"))
-    right = payload.select("kind", F.col("rec").alias("b"), F.col("words").alias("wb"))
-    both = candidates.join(left, ["kind", "a"]).join(right, ["kind", "b"])
-    verified = both.where(_alike()).select("kind", "a", "b")
+    grams = _grams(classes, hot, buckets).repartition(buckets, "bucket")
+    # the pairs of all buckets are read twice below and small next to the grams
+    matched = cut(grams.groupBy("bucket").applyInArrow(replay, _PAIRS))
+    candidates = matched.groupBy("a", "b").agg(F.sum("coverage").alias("coverage"))
+    both = candidates.join(classes.select(F.col("rec").alias("a"), F.col("words").alias("wa")), "a").join(classes.select(F.col("rec").alias("b"), F.col("words").alias("wb")), "b")
+    verified = both.where(_alike()).select("a", "b")
     # the result expands classes, in joins that spread over the members and never gather a class in one task
     members = classes.select("rec", F.explode("ids").alias("id"))
     many = classes.where(F.size("ids") > 1).select(F.col("rec").alias("a"), F.col("rec").alias("b"))
-    links = verified.where("kind = 0").select("a", "b").unionByName(many)
+    links = verified.unionByName(many)
     title_pairs = links.join(members.select(F.col("rec").alias("a"), F.col("id").alias("x")), "a").join(members.select(F.col("rec").alias("b"), F.col("id").alias("y")), "b")
     title_pairs = title_pairs.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
-    page_pairs = verified.where("kind = 1").select(F.col("a").alias("x"), F.col("b").alias("y"))
-    pairs = title_pairs.select("x", "y").unionByName(page_pairs)
+    paged = base.where(F.col("page").isNotNull())
+    page_pairs = paged.select("page", F.col("id").alias("x")).join(paged.select("page", F.col("id").alias("y")), "page").where("x < y")
+    pairs = title_pairs.select("x", "y").unionByName(page_pairs.select("x", "y"))
     return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-_GRAM_COLUMNS = ["bucket", "gram", "rec", "batch", "n", "j", "short", "kind"]
+_GRAM_COLUMNS = ["bucket", "gram", "rec", "batch", "n", "j", "short", "g"]
 
 
 class HistoryIndex:
-    """The persistent form: one immutable sorted segment of grams per batch, any two of like size merged into one.
+    """The persistent form: one immutable sorted segment of grams and records per batch, any two of like size merged into one.
 
     ``add`` compares a batch with everything accepted before and with itself, then accepts it. It reads the texts of
-    the batch only; of the store it reads the index rows whose gram the batch has, and the hashes of the candidates.
+    the batch only; of the store it reads the index rows whose gram or page the batch has, and the hashes of the candidates.
     The order of rarity is that of the first batch and stays: any fixed order finds every pair, a stale one only makes
-    more candidates. Items accepted before are ignored when they come again. A batch becomes part of the store by one
-    rename-free step, its entry in the list of segments, so a run that dies can be repeated.
+    more candidates. Items accepted before are ignored when they come again. Grams and records of a batch lie under one
+    number and become part of the store by one step, the new list of segments; only numbers on that list are ever read,
+    so a run that dies before that step has changed nothing and can be repeated.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
@@ -240,55 +246,62 @@ class HistoryIndex:
         live = self.store.read("segments")
         return sorted((r["no"], r["grams"]) for r in live.collect()) if live is not None else []
 
-    def _grams_of(self, number: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/grams/{number}")
+    def _read(self, what: str, live: list[tuple[int, int]]) -> DataFrame | None:
+        """All live grams or records; Parquet skips the row groups that a filter or range on the sorted key excludes."""
+        return self.spark.read.parquet(*(f"{self.folder}/{what}/{no}" for no, _ in live)) if live else None
 
     def add(self, items: DataFrame) -> DataFrame:
         """(id_a, id_b) of the new pairs of a batch; afterwards the batch is part of the history."""
         live = self._segments()
         batch = _records(items)
-        known = self.store.read("records") if live else None
+        known = self._read("records", live)
         if known is not None:
-            batch = batch.join(known.select("id"), "id", "left_anti")
+            lo, hi = batch.agg(F.min("id"), F.max("id")).head()
+            batch = batch.join(known.where(F.col("id").between(F.lit(lo), F.lit(hi))).select("id"), "id", "left_anti")
         batch = cut(batch)
-        titles = batch.where(F.col("words").isNotNull()).select(F.col("id").alias("rec"), "batch", F.lit(0).cast("short").alias("kind"), "words")
-        pages = batch.where(F.col("page").isNotNull()).select(F.col("id").alias("rec"), "batch", F.lit(1).cast("short").alias("kind"), F.slice("page", 1, 1).alias("words"))
+        titles = batch.where(F.col("words").isNotNull()).select(F.col("id").alias("rec"), "batch", "words")
         hot_rows = self.store.read("hot")
         if hot_rows is None:
             n = titles.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).head()[0]
-            hot_rows = titles.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") > max(1, n // HOT))
-            self.store.write("hot", hot_rows)
+            self.store.write("hot", titles.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") > max(1, n // HOT)))
             hot_rows = self.store.read("hot")
-        grams = cut(_grams(titles.unionByName(pages), {r["w"]: r["count"] for r in hot_rows.collect()}, self.buckets))
-        met = grams
+        grams = cut(_grams(titles, {r["w"]: r["count"] for r in hot_rows.collect()}, self.buckets))
+        met, paged = grams, batch.where(F.col("page").isNotNull()).select("id", "page")
+        everyone = batch.select("id", "page", "words") if known is None else known.select("id", "page", "words").unionByName(batch.select("id", "page", "words"))
         if live:
-            wanted = grams.select("gram").distinct()
-            for number, _ in live:
-                met = met.unionByName(self._grams_of(number).join(wanted, "gram", "left_semi").select(*_GRAM_COLUMNS))
-        found = met.groupBy("bucket").applyInArrow(replay, "kind short, a bigint, b bigint, coverage bigint").select("kind", "a", "b").distinct()
+            met = met.unionByName(self._read("grams", live).join(grams.select("gram").distinct(), "gram", "left_semi").select(*_GRAM_COLUMNS))
+        found = met.groupBy("bucket").applyInArrow(replay, _PAIRS).select("a", "b").distinct()
         new = batch.select("id")
         if live:  # pairs of two old records were reported when the later one came
             found = found.join(new.select(F.col("id").alias("a"), F.lit(True).alias("na")), "a", "left").join(new.select(F.col("id").alias("b"), F.lit(True).alias("nb")), "b", "left").where("na OR nb")
-        everything = batch.select("id", "page", "words") if known is None else known.select("id", "page", "words").unionByName(batch.select("id", "page", "words"))
-        payload = lambda end, own: everything.select(F.col("id").alias(end), F.col("page").alias(f"p{own}"), F.col("words").alias(f"t{own}"))
-        both = found.join(payload("a", "a"), "a").join(payload("b", "b"), "b").withColumns({f"w{x}": F.when(F.col("kind") == 1, F.col(f"p{x}")).otherwise(F.col(f"t{x}")) for x in "ab"})
-        pairs = cut(both.where(_alike()).select(F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct())
-        number = live[-1][0] + 1 if live else 1
-        self._write(number, grams)
-        if live:
-            self.store.append("records", batch)
-        else:
-            self.store.write("records", batch)
+        payload = lambda end, own: everyone.select(F.col("id").alias(end), F.col("words").alias(f"w{own}"))
+        near = found.join(payload("a", "a"), "a").join(payload("b", "b"), "b").where(_alike()).select("a", "b")
+        others = everyone.where(F.col("page").isNotNull()).select(F.col("id").alias("other"), "page")
+        same = paged.join(others, "page").where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        pairs = cut(near.unionByName(same).select(F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct())
+        number = max([no for no, _ in live], default=0) + 1
+        before = {no for no, _ in live}
+        self._write(number, grams, batch)
         live.append((number, grams.count()))
         while len(live) > 1 and live[-2][1] < 2 * live[-1][1]:  # merging keeps the number of segments logarithmic
-            (a, n), (b, m) = live[-2:]
-            self._write(b + 1, self._grams_of(a).unionByName(self._grams_of(b)))
+            (a, n), (b, m) = pair = live[-2:]
+            self._write(b + 1, self._read("grams", pair), self._read("records", pair))
             live[-2:] = [(b + 1, n + m)]
         self.store.write("segments", self.spark.createDataFrame(live, "no long, grams long"))
+        self._sweep(before | {no for no, _ in live})
         return pairs
 
-    def _write(self, number: int, grams: DataFrame) -> None:
-        grams.select(*_GRAM_COLUMNS).repartition("bucket").sortWithinPartitions("bucket", "gram").write.mode("overwrite").parquet(f"{self.folder}/grams/{number}")
+    def _write(self, number: int, grams: DataFrame, records: DataFrame) -> None:
+        grams.select(*_GRAM_COLUMNS).repartition("bucket").sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{self.folder}/grams/{number}")
+        records.select("id", "batch", "page", "words").repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{self.folder}/records/{number}")
+
+    def _sweep(self, keep: set[int]) -> None:
+        """Segments that neither the last list nor the one before has go."""
+        for what in ("grams", "records"):
+            root = self.store._path(f"{self.folder}/{what}")
+            for s in self.store._fs.listStatus(root):
+                if int(s.getPath().getName()) not in keep:
+                    self.store._fs.delete(s.getPath(), True)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_merging_segments_finds_across_batches():
     n = 30_000
     rng = np.random.default_rng(1)
     gram = rng.integers(0, 5_000, n)
-    t = pa.table({"bucket": pa.array(np.zeros(n, np.int32)), "gram": pa.array(gram), "rec": pa.array(np.arange(n)), "batch": pa.array(np.arange(n) // 100), "n": pa.array(np.ones(n, np.int16)), "j": pa.array(np.zeros(n, np.int16)), "short": pa.array(np.ones(n, bool)), "kind": pa.array(np.ones(n, np.int16))})
+    t = pa.table({"bucket": pa.array(np.zeros(n, np.int32)), "gram": pa.array(gram), "rec": pa.array(np.arange(n)), "batch": pa.array(np.arange(n) // 100), "n": pa.array(np.full(n, 5, np.int32)), "j": pa.array(np.zeros(n, np.int32)), "short": pa.array(np.ones(n, bool)), "g": pa.array(np.ones(n, np.int8))})
     counts = np.bincount(gram)
     assert history.replay(t).num_rows == int((counts * (counts - 1) // 2).sum())
 
@@ -79,3 +79,32 @@ def test_batches_add_up_to_the_whole(spark, tmp_path):
     assert len(got) == len(set(got)) and set(got) == {(r[0], r[1]) for r in history.near_pairs(spark.createDataFrame(items, schema)).collect()}
     assert len(index._segments()) <= 3
     assert index.add(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_run_that_dies_can_be_repeated(spark, tmp_path, monkeypatch):
+    schema = "id long, canonical_url string, title_key string, run_id long"
+    keys = ["one two three four five", "one two three four six", "one two three five six"]
+    batches = [spark.createDataFrame([(i + 1, f"https://a.test/{i}", k, i)], schema) for i, k in enumerate(keys)]
+    index = history.HistoryIndex(spark, str(tmp_path), buckets=2)
+    index.add(batches[0])
+    for step in ("segments", "records"):
+        with monkeypatch.context() as m:
+            if step == "segments":
+                m.setattr(index.store, "write", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+            else:
+                m.setattr(index, "_write", lambda number, grams, records: (grams.write.mode("overwrite").parquet(f"{tmp_path}/grams/{number}"), (_ for _ in ()).throw(OSError("gone"))))
+            with pytest.raises(OSError):
+                index.add(batches[1])
+    assert [tuple(r) for r in index.add(batches[1]).collect()] == [(1, 2)]
+    assert {tuple(r) for r in index.add(batches[2]).collect()} == {(1, 3), (2, 3)}
+
+
+def test_long_keys(spark):
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(600)]
+    items = [(i, f"https://a.test/{i}", " ".join(rng.sample(base, n))) for i, n in enumerate([14, 15, 20, 24, 25, 30, 39, 40, 41, 600, 500, 380, 300])]
+    items += [(100 + i, f"https://b.test/{i}", " ".join(k.split()[: int(len(k.split()) * 0.7)])) for i, _, k in items]
+    items += [(200, "https://c.test/", " ".join(f"v{i}" for i in range(40_000))), (201, "https://c.test/1", " ".join(f"v{i}" for i in range(39_000)))]
+    got = history.near_pairs(spark.createDataFrame([(*x, 0) for x in items], "id long, canonical_url string, title_key string, run_id long"))
+    want = {(a[0], b[0]) for a in items for b in items if a[0] < b[0] and len(words(a[2]) & words(b[2])) >= 0.6 * len(words(a[2]) | words(b[2])) - 1e-12}
+    assert {tuple(r) for r in got.collect()} == want and (200, 201) in want
