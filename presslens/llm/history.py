@@ -38,7 +38,7 @@ LEAST_WORDS = 4
 #: A word is hot if it makes up more than 1 / HOT of all words.
 HOT = 4_000
 #: Distinct words from which a key has single words as grams.
-LONG = 24
+LONG = 64
 #: Rows of grams in a bucket, and in the batches of a bucket; sizes of work only.
 BUCKET_GRAMS, BATCH_GRAMS = 250_000, 20_000
 IGNORED = ("fbclid", "gclid", "ref", "oc")

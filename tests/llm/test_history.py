@@ -102,7 +102,7 @@ def test_a_run_that_dies_can_be_repeated(spark, tmp_path, monkeypatch):
 def test_long_keys(spark):
     rng = random.Random(1)
     base = [f"w{i}" for i in range(600)]
-    items = [(i, f"https://a.test/{i}", " ".join(rng.sample(base, n))) for i, n in enumerate([14, 15, 20, 24, 25, 30, 39, 40, 41, 600, 500, 380, 300])]
+    items = [(i, f"https://a.test/{i}", " ".join(rng.sample(base, n))) for i, n in enumerate([14, 25, 38, 39, 55, 64, 65, 90, 106, 107, 600, 500, 380])]
     items += [(100 + i, f"https://b.test/{i}", " ".join(k.split()[: int(len(k.split()) * 0.7)])) for i, _, k in items]
     items += [(200, "https://c.test/", " ".join(f"v{i}" for i in range(40_000))), (201, "https://c.test/1", " ".join(f"v{i}" for i in range(39_000)))]
     got = history.near_pairs(spark.createDataFrame([(*x, 0) for x in items], "id long, canonical_url string, title_key string, run_id long"))
