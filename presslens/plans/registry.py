@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from presslens.operators import lateness, timestamps
 from presslens.plans import core_queries, time_sql
-from presslens.plans import curation_queries, portable_queries  # noqa: F401  (register their queries)
+from presslens.plans import curation_queries, pass_queries, portable_queries  # noqa: F401  (register their queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
