@@ -19,6 +19,14 @@ from presslens.streaming import incremental
 _CLEAN = r"trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(coalesce({c}, ''), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&quot;', '\"'), '&#39;|&apos;', chr(39), 'g'), '[ \t\n\r\f\x0b]+', ' ', 'g'), ' ')"
 
 
+def _link_page(spark, sf):
+    """A page per outlet and run with links to its items: an article link, a feed by name, a declared feed and a mail link."""
+    i = ledger.items(spark, sf, "source_domain", "canonical_url", "title")
+    anchor = F.concat(F.lit('<a href="'), _xml("canonical_url"), F.lit('">'), _xml("title"), F.lit("</a>"))
+    more = F.lit('<a href="/news/rss.xml">RSS</a><a href="mailto:a@b.test">feed</a><link rel="alternate" type="application/atom+xml" href="/atom">')
+    return i.where("canonical_url IS NOT NULL AND title IS NOT NULL").select(F.concat(F.lit("https://"), "source_domain", F.lit("/?i="), "id").alias("page_url"), F.concat(anchor, more).alias("html"))
+
+
 # ---- sources ----------------------------------------------------------------------------------------------------
 
 
@@ -235,8 +243,8 @@ def j12(spark, sf):
 # ---- windows, scheduling, sets ----------------------------------------------------------------------------------
 
 
-@query("w1_best_alias", f"WITH {MATCHES}, r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY confidence DESC, name_id) AS k FROM (SELECT item_id, name_id, max(confidence) AS confidence FROM m GROUP BY 1, 2)) SELECT item_id, name_id, confidence FROM r WHERE k = 1")
-def w1(spark, sf):
+@query("w2_primary_name", f"WITH {MATCHES}, r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY confidence DESC, name_id) AS k FROM (SELECT item_id, name_id, max(confidence) AS confidence FROM m GROUP BY 1, 2)) SELECT item_id, name_id, confidence FROM r WHERE k = 1")
+def w2(spark, sf):
     """Primary name of every item."""
     return matching.primary_name(table(spark, sf, "matches").groupBy("item_id", "name_id").agg(F.max("confidence").alias("confidence")))
 
@@ -461,7 +469,7 @@ def r2(spark, sf):
     stream = reader.parquet(f"{sf}/{name}") if os.path.isdir(f"{sf}/{name}") else reader.option("pathGlobFilter", name).parquet(sf)
     run = uuid.uuid4().hex
     where = f"{ensure_checkpoint_dir(spark)}/stream-{run}"
-    out = incremental.run_available(incremental.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"r2_{run}", where)
+    out = incremental.run_available(incremental.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"r2_{run}", where, ["start", "event_type"])
     return out.withColumn("total", F.round("total", 2))
 
 
@@ -470,3 +478,47 @@ def r3(spark, sf):
     """Sessions of each user with a gap of thirty minutes."""
     s = incremental.sessions(table(spark, sf, "events"))
     return s.withColumn("start", F.date_format(F.col("start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"))
+
+
+_MARKET_NAMES = "SELECT n.name, k.lang, k.country FROM names n JOIN markets k ON k.country = n.home_country"
+
+
+def _market_names(spark, sf):
+    return table(spark, sf, "names").join(table(spark, sf, "markets").select("country", "lang"), F.col("home_country") == F.col("country")).select("name", "lang", "country")
+
+
+def _case(column: str, values: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in values.items()) + f" ELSE {column} END"
+
+
+@query("s2_second_search", f"SELECT name, 'https://www.bing.com/news/search?q=' || replace(url_encode(name), '%20', '+') || '&format=rss&mkt=' || CASE WHEN country = 'NO' AND lang IN ('nb', 'no') THEN 'nb-NO' ELSE lang || '-' || country END AS url FROM ({_MARKET_NAMES})")
+def s2(spark, sf):
+    """Address of the second search for each name in its home market."""
+    return _market_names(spark, sf).select("name", feeds.second_search_url(F.col("name"), F.col("lang"), F.col("country")).alias("url"))
+
+
+@query("s3_article_api", f"SELECT name, 'https://api.gdeltproject.org/api/v2/doc/doc?query=' || replace(url_encode(name || ' sourcecountry:' || {_case('country', feeds.API_COUNTRIES)} || ' sourcelang:' || {_case('lang', feeds.API_LANGUAGES)}), '%20', '+') || '&mode=artlist&maxrecords=250&format=json&timespan=24h&sort=datedesc' AS url FROM ({_MARKET_NAMES})")
+def s3(spark, sf):
+    """Address of the article API for each name in its home market."""
+    return _market_names(spark, sf).select("name", feeds.article_api_url(F.col("name"), F.col("lang"), F.col("country")).alias("url"))
+
+
+@query("s7_atom", f"WITH {ITEMS} SELECT id, {_CLEAN.format(c='title')} AS title, canonical_url AS link, CASE WHEN id % 2 = 0 THEN 1700000000000000 ELSE 1600000000000000 END AS published_us FROM i")
+def s7(spark, sf):
+    """Every item written as an Atom entry, of which every other has only the time of its last change, and parsed back."""
+    i = ledger.items(spark, sf, "title", "canonical_url")
+    published = F.when(F.col("id") % 2 == 0, "<published>2023-11-14T22:13:20Z</published>").otherwise("")
+    doc = F.concat(F.lit('<feed><title>f</title><entry><link rel="self" href="https://x.test/"/><link href="'), _xml("canonical_url"), F.lit('"/><title>'), _xml("title"), F.lit("</title>"), published, F.lit("<updated>2020-09-13T12:26:40Z</updated></entry></feed>"))
+    return feeds.parse_atom(i.select("id", doc.alias("doc"))).select("id", "title", "link", "published_us")
+
+
+@query("s10_feed_anchors", f"WITH {ITEMS}, p AS (SELECT 'https://' || source_domain || '/?i=' || id AS page_url, 'https://' || source_domain AS base, string_split(canonical_url, '#')[1] AS link, title FROM i WHERE canonical_url IS NOT NULL AND title IS NOT NULL) SELECT page_url, base || '/news/rss.xml' AS link, 1 AS rank FROM p UNION ALL SELECT page_url, base || '/atom', 0 FROM p UNION ALL SELECT page_url, link, 1 FROM p WHERE regexp_matches(lower(link || ' ' || title), 'rss|atom|feed')")
+def s10(spark, sf):
+    """Links of pages that may be feeds: declared ones and those with a feed's name."""
+    return feeds.feed_anchors(feeds.extract_links(_link_page(spark, sf)))
+
+
+@query("s12_page_items", f"WITH {ITEMS}, p AS (SELECT 'https://' || source_domain || '/?i=' || id AS page_url, lower(source_domain) AS host, string_split(canonical_url, '#')[1] AS link, {_CLEAN.format(c='title')} AS title FROM i WHERE canonical_url IS NOT NULL AND title IS NOT NULL) SELECT page_url, link, 'page' AS route FROM p WHERE lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) = host AND length(rtrim(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/')) >= 12 AND length(title) >= 20")
+def s12(spark, sf):
+    """Undated mentions of the articles that pages link to."""
+    return feeds.page_items(feeds.extract_links(_link_page(spark, sf))).select("page_url", "link", "route")

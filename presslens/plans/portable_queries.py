@@ -55,9 +55,6 @@ portable("a25_source_grades", "Grade of every outlet domain from its best tier."
 portable("fn_error_class", "Ordered classification of the ledger's errors.", "SELECT run_id, route, source, CASE WHEN error = '' THEN 'none' WHEN error LIKE '%budget%' THEN 'budget' WHEN error LIKE '%rotation%' THEN 'deferred' WHEN error LIKE 'refused upstream%' THEN 'refused' WHEN error LIKE '%429%' THEN 'rate_limit' ELSE 'other' END AS error_class FROM {l}")
 portable("fn_stems", "Six-letter stems of the long words of a key.", "SELECT id, array_sort(array_distinct(transform(filter(split(title_key, ' '), w -> length(w) >= 5), w -> substring(w, 1, 6)))) AS stems FROM {i}", (("array_sort(array_distinct(transform(filter(split(title_key, ' '), w -> length(w) >= 5), w -> substring(w, 1, 6))))", "list_sort(list_distinct(list_transform(list_filter(string_split(title_key, ' '), lambda w: length(w) >= 5), lambda w: substr(w, 1, 6))))"),))
 portable("fn_contains_all", "Golden predicate: all of a name's words in the headline.", "SELECT i.id, m.name_id, forall(split(lower(n.name), ' '), w -> contains(lower(i.title), w)) AS all_words FROM {i} i JOIN {m} m ON m.item_id = i.id JOIN {n} n ON n.id = m.name_id WHERE i.title IS NOT NULL GROUP BY ALL", (("forall(split(lower(n.name), ' '), w -> contains(lower(i.title), w))", "len(list_filter(string_split(lower(n.name), ' '), lambda w: NOT contains(lower(i.title), w))) = 0"), ("WHERE i.title IS NOT NULL GROUP BY ALL", "WHERE i.title IS NOT NULL GROUP BY i.id, m.name_id, i.title, n.name")))
-portable("c2_stale", "Why an item is stale against its run: an old year in the address, or no date on a search route.", """
-    SELECT reason, count(*) AS n FROM (SELECT CASE WHEN TRY_CAST(regexp_extract(i.canonical_url, '/((19|20)[0-9][0-9])/', 1) AS INT) < year(r.started_at) THEN 'old_year'
-        WHEN i.published_at IS NULL AND i.route IN ('googlenews', 'bingnews', 'gdelt') THEN 'undated' ELSE 'fresh' END AS reason FROM {i} i JOIN {r} r ON r.id = i.run_id) t GROUP BY 1""")
 portable("c12_keep", "Screened items of watched names that stay candidates, with the reason kept.", "SELECT DISTINCT i.id, concat('kept:', i.screen_reason, ':watched') AS reason FROM {i} i JOIN {m} m ON m.item_id = i.id JOIN {n} n ON n.id = m.name_id WHERE i.status = 'screened' AND n.watch AND m.where_ = 'title' AND i.screen_reason <> ''")
 portable("c25_revalidate", "Stored candidates whose alias is no longer in the text.", "SELECT DISTINCT i.id, m.name_id FROM {i} i JOIN {m} m ON m.item_id = i.id WHERE i.status = 'candidate' AND i.route NOT IN ('page', 'rss') AND NOT contains(lower(concat(coalesce(i.title, ''), ' ', coalesce(i.summary, ''))), lower(m.alias))")
 portable("j7_recent_jobs", "Queries of the last day with the start of their run.", "SELECT l.route, l.source, l.ok, CAST(r.started_at AS STRING) AS started FROM {l} l JOIN {r} r ON r.id = l.run_id WHERE r.started_at >= (SELECT max(started_at) FROM {r}) - INTERVAL 24 HOUR", (("AS STRING", "AS VARCHAR"),))
@@ -65,9 +62,9 @@ portable("j15_overlay", "Upsert of outlets over the domains seen in items: confi
 portable("j17_echoes", "Other domains that carry the story of each alert, from counts per cluster rather than pairs.", "SELECT a.id, c.n_domains - 1 AS n_echoes FROM {i} a JOIN (SELECT cluster_id, count(DISTINCT source_domain) AS n_domains FROM {i} WHERE cluster_id IS NOT NULL GROUP BY 1) c ON c.cluster_id = a.cluster_id WHERE a.alert_candidate AND c.n_domains > 1")
 portable("j18_window_merge", "Clusters of the wide window that the narrow one doesn't have.", "SELECT c.cluster_id FROM (SELECT i.cluster_id, max(r.started_at) AS latest FROM {i} i JOIN {r} r ON r.id = i.run_id WHERE i.cluster_id IS NOT NULL GROUP BY 1) c JOIN (SELECT max(started_at) AS last FROM {r}) z ON c.latest >= z.last - INTERVAL 72 HOUR AND c.latest < z.last - INTERVAL 24 HOUR")
 portable("j19_carry_merge", "Judgements carried on: the newer half overrides the older, screened ones drop out.", """
-    SELECT coalesce(b.cluster_id, a.cluster_id) AS cluster_id, coalesce(b.id, a.id) AS id FROM (SELECT cluster_id, max(id) AS id FROM {i} WHERE run_id % 2 = 0 AND cluster_id IS NOT NULL GROUP BY 1) a
-    FULL OUTER JOIN (SELECT cluster_id, max(id) AS id FROM {i} WHERE run_id % 2 = 1 AND cluster_id IS NOT NULL GROUP BY 1) b ON a.cluster_id = b.cluster_id
-    WHERE coalesce(b.cluster_id, a.cluster_id) NOT IN (SELECT cluster_id FROM {i} WHERE status = 'screened' AND cluster_id IS NOT NULL)""")
+    SELECT j.cluster_id, j.id FROM (SELECT coalesce(b.cluster_id, a.cluster_id) AS cluster_id, coalesce(b.id, a.id) AS id FROM (SELECT cluster_id, max(id) AS id FROM {i} WHERE run_id % 2 = 0 AND cluster_id IS NOT NULL GROUP BY 1) a
+    FULL OUTER JOIN (SELECT cluster_id, max(id) AS id FROM {i} WHERE run_id % 2 = 1 AND cluster_id IS NOT NULL GROUP BY 1) b ON a.cluster_id = b.cluster_id) j
+    LEFT JOIN (SELECT DISTINCT cluster_id FROM {i} WHERE status = 'screened' AND cluster_id IS NOT NULL) x ON x.cluster_id = j.cluster_id WHERE x.cluster_id IS NULL""")
 portable("j20_regulators", "Names of each regulator's country in chunks of six.", "SELECT country, chunk, count(*) AS n_names FROM (SELECT k.country, floor((row_number() OVER (PARTITION BY k.country ORDER BY n.id) - 1) / 6) AS chunk FROM {k} k JOIN {n} n ON n.home_country = k.country) t GROUP BY 1, 2")
 portable("j22_facts", "Lint: documents that name a company by its name and speak of no creditors.", "SELECT n.id AS name_id, count(*) AS n_docs FROM {d} d JOIN {n} n ON n.id = d.name_id WHERE d.text IS NOT NULL AND contains(d.text, n.name) AND NOT contains(lower(d.text), 'creditors') GROUP BY 1")
 portable("j23_silent_catalysts", "Watched names without an item in the last week: a warning.", "SELECT n.id FROM {n} n WHERE n.watch AND NOT EXISTS (SELECT 1 FROM {m} m JOIN {i} i ON i.id = m.item_id JOIN {r} r ON r.id = i.run_id WHERE m.name_id = n.id AND r.started_at >= (SELECT max(started_at) FROM {r}) - INTERVAL 168 HOUR)")
@@ -78,12 +75,13 @@ portable("q2_alias_queries", "Secondary alias queries, once per language, the ho
 portable("q5_group_queries", "Grouped OR queries of six names per market.", """
     SELECT market, grp, concat('(', array_join(transform(array_sort(collect_list(name)), x -> concat('"', x, '"')), ' OR '), ')') AS q FROM (SELECT home_country AS market, name, floor((row_number() OVER (PARTITION BY home_country ORDER BY id) - 1) / 6) AS grp FROM {n}) t GROUP BY 1, 2""",
     (("array_join(transform(array_sort(collect_list(name)), x -> concat('\"', x, '\"')), ' OR ')", "array_to_string(list_transform(list_sort(list(name)), lambda x: concat('\"', x, '\"')), ' OR ')"),))
-portable("w7_slice", "Rotating slice of five site queries per name and run.", """
-    SELECT t.domain, t.run_id FROM (SELECT d.domain, r.id AS run_id, d.p, c.n FROM (SELECT domain, row_number() OVER (ORDER BY domain) - 1 AS p FROM (SELECT DISTINCT regexp_extract(homepage, '//([^/]+)', 1) AS domain FROM {o}) x) d
-    JOIN (SELECT count(DISTINCT homepage) AS n FROM {o}) c ON c.n > 0 JOIN {r} r ON (d.p - r.id * 5) % c.n IN (0, 1, 2, 3, 4) OR (d.p - r.id * 5) % c.n + c.n IN (0, 1, 2, 3, 4)) t""")
-portable("w9_refusals", "Where each route has two refused queries in a row.", """
-    SELECT route, run_id, min(seq) AS tripped_at FROM (SELECT route, run_id, seq, ok, lag(ok) OVER (PARTITION BY route, run_id ORDER BY seq) AS before FROM (SELECT route, run_id, ok, row_number() OVER (PARTITION BY route, run_id ORDER BY source) AS seq FROM {l}) s) t
-    WHERE NOT ok AND NOT before GROUP BY 1, 2""")
+portable("w7_slice", "Rotating slice of five site queries per run: each run joins the five places whose turn it is.", """
+    SELECT d.domain, q.run_id FROM (SELECT s.run_id, (s.run_id * 5 + s.k) % c.n AS p FROM (SELECT id AS run_id, explode(array(0, 1, 2, 3, 4)) AS k FROM {r}) s JOIN (SELECT count(DISTINCT homepage) AS n FROM {o}) c ON c.n > 0) q
+    JOIN (SELECT domain, row_number() OVER (ORDER BY domain) - 1 AS p FROM (SELECT DISTINCT regexp_extract(homepage, '//([^/]+)', 1) AS domain FROM {o}) x) d ON d.p = q.p""", (("explode(array(0, 1, 2, 3, 4))", "unnest([0, 1, 2, 3, 4])"),))
+portable("w9_refusals", "Where each route first has three refused queries in a row; an answer in between starts anew.", """
+    SELECT route, run_id, min(seq) AS tripped_at FROM (SELECT route, run_id, seq, count(*) OVER (PARTITION BY route, run_id, answers ORDER BY seq) AS streak, ok FROM (
+        SELECT route, run_id, ok, seq, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY route, run_id ORDER BY seq) AS answers FROM (SELECT route, run_id, ok, row_number() OVER (PARTITION BY route, run_id ORDER BY source) AS seq FROM {l}) s) t WHERE NOT ok) u
+    WHERE streak >= 3 GROUP BY 1, 2""")
 portable("w13_latest_title", "Latest item of every headline.", "SELECT title_key, max(id) AS id FROM {i} WHERE title_key <> '' GROUP BY 1")
 portable("t2_caps", "The 25 newest screened items of each reason (the cap is the operator).", "SELECT screen_reason, id FROM (SELECT screen_reason, id, row_number() OVER (PARTITION BY screen_reason ORDER BY id DESC) AS rk FROM {i} WHERE status = 'screened') t WHERE rk <= 25")
 portable("t4_last_runs", "The last four runs.", "SELECT id, items_new FROM {r} ORDER BY id DESC LIMIT 4")

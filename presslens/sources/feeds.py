@@ -16,18 +16,30 @@ from pyspark.sql import functions as F
 
 from presslens.functions.times import utc_micros
 from presslens.functions.titles import strip_html
-from presslens.functions.urls import domain_of, unwrap_redirect
+from presslens.functions.urls import domain_of, looks_like_article, unwrap_redirect
 
-RSS = "channel struct<title:string, item:array<struct<title:string, link:string, guid:string, pubDate:string, description:string, source:struct<_VALUE:string, _url:string>>>>"
+RSS = "channel struct<title:string, item:array<struct<title:string, link:string, guid:string, pubDate:string, description:string, source:struct<_VALUE:string, _url:string>, `News:Source`:string>>>"
+ATOM = "title string, entry array<struct<title:string, link:array<struct<_href:string, _rel:string>>, published:string, updated:string, summary:string>>"
 ARTICLES = "articles array<struct<url:string, url_mobile:string, title:string, seendate:string, domain:string, language:string, sourcecountry:string>>"
 SUMMARY_LENGTH = 600
+FEED_WORDS = "(?i)(rss|atom|feed)"
+
+# The article API's country codes (FIPS 10-4) and language names.
+API_COUNTRIES = {
+    "SE": "SW", "GR": "GR", "ES": "SP", "DE": "GM", "IT": "IT", "NL": "NL", "FR": "FR", "GB": "UK", "HU": "HU", "PL": "PL", "CZ": "EZ", "SK": "LO", "FI": "FI", "NO": "NO", "DK": "DA",
+    "PT": "PO", "CH": "SZ", "AT": "AU", "BE": "BE", "IE": "EI", "LT": "LH", "LV": "LG", "EE": "EN", "RO": "RO", "US": "US", "CN": "CH", "HK": "HK", "IN": "IN", "TW": "TW",
+}
+API_LANGUAGES = {
+    "sv": "swedish", "el": "greek", "es": "spanish", "de": "german", "it": "italian", "nl": "dutch", "fr": "french", "en": "english", "hu": "hungarian", "pl": "polish", "cs": "czech",
+    "sk": "slovak", "fi": "finnish", "nb": "norwegian", "no": "norwegian", "da": "danish", "pt": "portuguese", "lt": "lithuanian", "lv": "latvian", "et": "estonian", "ro": "romanian", "zh": "chinese",
+}
 
 
 def parse_rss(docs: DataFrame, doc: str = "doc", route: str = "rss", hosts: list[str] | None = None) -> DataFrame:
     """One mention per entry of each RSS document, all other columns of ``docs`` kept; ``hosts`` are those whose links only redirect."""
     parsed = docs.withColumn("__p", F.from_xml(doc, RSS, {"mode": "PERMISSIVE", "rowTag": "rss"}))
     entries = parsed.select(*[c for c in docs.columns if c != doc], F.col("__p.channel.title").alias("feed_title"), F.explode("__p.channel.item").alias("e"))
-    title, source = strip_html(F.col("e.title")), F.col("e.source._VALUE")
+    title, source = strip_html(F.col("e.title")), F.coalesce("e.source._VALUE", "e.`News:Source`")
     named = F.endswith(title, F.concat(F.lit(" - "), source))
     link = unwrap_redirect(F.col("e.link"), hosts)
     return entries.select(
@@ -39,6 +51,19 @@ def parse_rss(docs: DataFrame, doc: str = "doc", route: str = "rss", hosts: list
     )
 
 
+def parse_atom(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """One mention per entry of each Atom document: its alternate link, the date of publication, else of the last change."""
+    parsed = docs.withColumn("__p", F.from_xml(doc, ATOM, {"mode": "PERMISSIVE", "rowTag": "feed"}))
+    entries = parsed.select(*[c for c in docs.columns if c != doc], F.col("__p.title").alias("feed_title"), F.explode("__p.entry").alias("e"))
+    usual = F.filter("e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(usual, F.lit(0))["_href"], F.get("e.link", F.lit(0))["_href"])
+    return entries.select(
+        *[c for c in docs.columns if c != doc], strip_html(F.col("e.title")).alias("title"), link.alias("link"), F.lit("rss").alias("route"),
+        F.substring(strip_html(F.col("e.summary")), 1, SUMMARY_LENGTH).alias("summary"), F.coalesce(utc_micros(F.col("e.published")), utc_micros(F.col("e.updated"))).alias("published_us"),
+        F.coalesce(F.nullif("feed_title", F.lit("")), domain_of(link)).alias("source_name"), domain_of(link).alias("source_domain"),
+    )
+
+
 def parse_articles(docs: DataFrame, doc: str = "doc") -> DataFrame:
     """One mention per article of each JSON answer; anything that isn't an object is an error and gives no rows."""
     parsed = docs.where(F.startswith(F.ltrim(doc), F.lit("{"))).withColumn("__p", F.from_json(doc, ARTICLES))
@@ -92,6 +117,38 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_url", "html").mapInArrow(run, "page_url string, position int, link string, text string, is_feed boolean")
 
 
+def feed_anchors(links: DataFrame) -> DataFrame:
+    """Links of ``extract_links`` that may lead to a feed: declared ones first, then any with a feed's name in address or text."""
+    named = F.col("link").rlike(FEED_WORDS) | F.col("text").rlike(FEED_WORDS)
+    return links.where(F.col("is_feed") | named).select("page_url", "link", F.when(F.col("is_feed"), 0).otherwise(1).alias("rank")).groupBy("page_url", "link").agg(F.min("rank").alias("rank"))
+
+
+def page_items(links: DataFrame, pattern: str | None = None) -> DataFrame:
+    """Undated mentions of the articles that pages link to, each link of a page once, by its first place and longest text."""
+    good = links.where(~F.col("is_feed")).where(looks_like_article(F.col("link"), F.col("text"), F.col("page_url"), pattern))
+    return good.groupBy("page_url", "link").agg(F.max_by("text", F.struct(F.length("text"), "text")).alias("title"), F.min("position").alias("position")).select("page_url", "link", "title", "position", F.lit("page").alias("route"), domain_of(F.col("link")).alias("source_domain"))
+
+
+def _plus(text: Column) -> Column:
+    return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def second_search_url(query: Column, lang: Column, country: Column) -> Column:
+    """Address of the second news search in a market."""
+    low = F.lower(lang)
+    market = F.when((F.upper(country) == "NO") & low.isin("nb", "no"), "nb-NO").otherwise(F.concat(low, F.lit("-"), F.upper(country)))
+    return F.concat(F.lit("https://www.bing.com/news/search?q="), _plus(query), F.lit("&format=rss&mkt="), market)
+
+
+def article_api_url(query: Column, lang: Column, country: Column, timespan: str = "24h", most: int = 250) -> Column:
+    """Address of the article API's newest answers; its country codes and language names are its own, unknown ones go as they are."""
+    code, name = F.upper(country), F.lower(lang)
+    codes, names = (F.create_map(*(F.lit(x) for pair in d.items() for x in pair)) for d in (API_COUNTRIES, API_LANGUAGES))
+    where = F.when(F.length(country) > 0, F.concat(F.lit(" sourcecountry:"), F.coalesce(F.try_element_at(codes, code), code))).otherwise("")
+    what = F.when(F.length(lang) > 0, F.concat(F.lit(" sourcelang:"), F.coalesce(F.try_element_at(names, name), name))).otherwise("")
+    return F.concat(F.lit("https://api.gdeltproject.org/api/v2/doc/doc?query="), _plus(F.concat(query, where, what)), F.lit(f"&mode=artlist&maxrecords={most}&format=json&timespan={timespan}&sort=datedesc"))
+
+
 def search_url(query: Column, lang: Column, country: Column, when: str = "1d", base: str = "https://news.example/rss/search") -> Column:
     """Address of a news search in a market."""
     q = F.url_encode(F.concat(query, F.lit(f" when:{when}" if when else "")))

@@ -1,7 +1,8 @@
 """The curated store on Parquet: append, upsert, insert-if-absent, fill-only enrichment, provenance, retention.
 
-Plain Parquet has no merge, so an update writes the new state beside the old one and swaps a pointer file: readers
-see the whole old or the whole new state. Each function also exists as a pure DataFrame transformation, which the
+Plain Parquet has no merge, so rows lie in parts that never change, and a version is a list of parts: an update writes a
+new part beside the old ones and then a new list. Readers see the whole old or the whole new state, and an addition costs
+what it adds. Each function also exists as a pure DataFrame transformation, which the
 queries use.
 """
 
@@ -45,7 +46,7 @@ def retain(ledger: DataFrame, runs: DataFrame, keep_days: int, current_run: int
 
 
 class Store:
-    """Versioned Parquet tables in one folder; a version is complete before it becomes current."""
+    """Versioned Parquet tables in one folder; a version, a list of immutable parts, is complete before it becomes current."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -53,36 +54,51 @@ class Store:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, name: str) -> list[int]:
-        """Complete versions of a table, ascending."""
+    def _numbers(self, name: str, letter: str, complete: bool) -> list[int]:
         root = self._path(f"{self.folder}/{name}")
         if not self._fs.exists(root):
             return []
-        return sorted(int(s.getPath().getName()[1:]) for s in self._fs.listStatus(root) if s.getPath().getName().startswith("v") and self._fs.exists(self._path(s.getPath(), "_SUCCESS")))
+        found = [s.getPath() for s in self._fs.listStatus(root) if s.getPath().getName().startswith(letter)]
+        return sorted(int(x.getName()[1:]) for x in found if not complete or self._fs.exists(self._path(x, "_SUCCESS")))
+
+    def versions(self, name: str) -> list[int]:
+        """Complete versions of a table, ascending."""
+        return self._numbers(name, "v", True)
+
+    def parts(self, name: str, version: int) -> list[int]:
+        """Numbers of the parts of a version."""
+        return sorted(int(r[0]) for r in self.spark.read.text(f"{self.folder}/{name}/v{version}").collect())
 
     def read(self, name: str) -> DataFrame | None:
         """Current version, None before the first."""
         v = self.versions(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}/v{v[-1]}") if v else None
+        return self.spark.read.parquet(*(f"{self.folder}/{name}/p{k}" for k in self.parts(name, v[-1]))) if v else None
 
-    def write(self, name: str, rows: DataFrame, keep: int = 2) -> None:
-        """Make ``rows`` the current version; all but the last ``keep`` versions go."""
+    def _publish(self, name: str, rows: DataFrame, old: list[int], keep: int) -> None:
+        part = max(self._numbers(name, "p", False), default=0) + 1
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/p{part}")
         v = self.versions(name)
-        new = v[-1] + 1 if v else 1
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/v{new}")
-        for x in v[: max(0, len(v) + 1 - keep)]:
+        # one list of a few numbers; its _SUCCESS file makes it the current version
+        self.spark.createDataFrame([(str(k),) for k in [*old, part]], "k string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/{name}/v{v[-1] + 1 if v else 1}")
+        gone = v[: max(0, len(v) + 1 - keep)]
+        for x in gone:
             self._fs.delete(self._path(f"{self.folder}/{name}/v{x}"), True)
+        live = {k for x in self.versions(name) for k in self.parts(name, x)}
+        for k in self._numbers(name, "p", True):
+            if k not in live and gone:
+                self._fs.delete(self._path(f"{self.folder}/{name}/p{k}"), True)
+
+    def write(self, name: str, rows: DataFrame, keep: int = 2) -> None:
+        """Make ``rows`` the current version; all but the last ``keep`` versions go, with the parts that only they had."""
+        self._publish(name, rows, [], keep)
+
+    def append(self, name: str, rows: DataFrame, keep: int = 2) -> None:
+        """A new version with the rows of the current one and these."""
+        v = self.versions(name)
+        self._publish(name, rows, self.parts(name, v[-1]) if v else [], keep)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows to the current version."""
+    def compact(self, name: str, files: int, most_parts: int = 1) -> None:
+        """Rewrite the current version into one part of fewer files once it has more than ``most_parts`` parts."""
         v = self.versions(name)
-        if v:
-            rows.write.mode("append").parquet(f"{self.folder}/{name}/v{v[-1]}")
-        else:
-            self.write(name, rows)
-
-    def compact(self, name: str, files: int) -> None:
-        """Rewrite the current version into fewer files."""
-        rows = self.read(name)
-        if rows is not None:
-            self.write(name, rows.coalesce(files))
+        if v and len(self.parts(name, v[-1])) >= most_parts:
+            self.write(name, self.read(name).coalesce(files))

@@ -22,11 +22,20 @@ def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return rows.groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("s.start").cast("string").alias("start"), "n")
 
 
-def run_available(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Drive a stream over what is there now and return its result."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available(stream: DataFrame, name: str, checkpoint: str, keys: list[str]) -> DataFrame:
+    """Drive a stream of corrected rows over what is there now into Parquet and return the latest row of each key.
+
+    Each micro-batch is one folder named by its number, so a repeated batch overwrites itself and none passes the driver."""
+    folder = f"{checkpoint}/{name}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("__batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    q = stream.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{checkpoint}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.table(name)
+    rows = stream.sparkSession.read.schema(stream.select("*", F.lit(0).cast("bigint").alias("__batch")).schema).parquet(f"{folder}/batch=*")
+    others = [c for c in stream.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*(F.max_by(c, "__batch").alias(c) for c in others)).select(*stream.columns)
 
 
 class Curator:
