@@ -35,4 +35,5 @@ def test_equals_sql(spark, sf, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(FOUND)))
 def test_reports_run(spark, sf, name):
-    assert queries.queries()[name](spark, sf).count() > 0
+    # whole items are rare: the smallest folder has none
+    assert queries.queries()[name](spark, sf.replace("0.001", "0.01") if name == "p9_altered" else sf).count() > 0
