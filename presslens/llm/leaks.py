@@ -134,7 +134,7 @@ class Bitmap:
     """A set of 64-bit values as one bit each of at most ``BITMAP``; says yes to every member."""
 
     def __init__(self, values: DataFrame, column: str, n: int):
-        self.bits = min(BITMAP, 1 << max(15, 4 + int(n).bit_length()))
+        self.bits = min(BITMAP, 1 << max(20, 8 + int(n).bit_length()))
         slot = (F.col(column).bitwiseAND(F.lit(self.bits - 1)) + 1).alias("s")
         parts = values.select(slot).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
         self.map = np.zeros(self.bits // 8, np.uint8)
