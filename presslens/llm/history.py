@@ -13,6 +13,13 @@ own; then it joins the segments, of which any two of like size are merged. Nothi
 by binary search. Matches that position and size show to be too short are dropped, the rest are summed per pair of
 records (coverage) and verified exactly on the whole word sets.
 
+Pairs of words of a limited vocabulary come back as a corpus grows, and their matches would grow with its square. Of two
+matching records the smaller has the gram in its *short* prefix, so only these rows are matched with the others, and a
+gram that more than ``CROWD`` records have there makes no pairs: its records are taken again with the gram made longer by
+each next rare word, in rounds, until no gram is crowded. Two records that must share more words than the gram has share
+one of the longer grams; those that need not are matched at once, as they are near-equal already. So a gram
+makes at most ``CROWD`` matches a row, and they are made in slices of ``SLICE``, whatever the size of the corpus.
+
 Exact copies of a key are one class and so are the items of a page, so copies never multiply the work; only the result
 expands them. How rare a word is follows from the list of words that make up over 1/``HOT`` of all words, at most ``HOT``
 words however large the corpus. Nulls: a null key or address has no grams; fewer than four distinct words make no key;
@@ -21,9 +28,8 @@ the same item delivered twice is one item; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -41,6 +47,8 @@ HOT = 4_000
 LONG = 64
 #: Rows of grams in a bucket, and in the batches of a bucket; sizes of work only.
 BUCKET_GRAMS, BATCH_GRAMS = 250_000, 20_000
+#: Records with a gram in the short prefix beyond which it is made longer, matches and rows made at once; sizes of work only.
+CROWD, SLICE = 128, 200_000
 IGNORED = ("fbclid", "gclid", "ref", "oc")
 
 
@@ -54,13 +62,17 @@ def page_key(url: Column) -> Column:
     return F.when(F.length(host) > 0, F.concat(host, path, F.lit("?"), F.array_join(F.array_sort(params), "&")))
 
 
+def _ends(n: int | np.ndarray, g: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the prefix and of the shorter prefix that hold the first ``g`` common words of a key of ``n`` words."""
+    least = 2 * SIMILARITY / (1 + SIMILARITY)  # words in common of two keys of one size, as a share of it
+    return np.minimum(n, n - np.ceil(SIMILARITY * n - 1e-9).astype(np.int64) + g), n - np.ceil(least * n - 1e-9).astype(np.int64) + g
+
+
 @lru_cache(256)
 def _prefix(n: int, g: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions of the words of each gram of ``g`` words, whether it is within the shorter prefix) of a key of ``n`` words."""
-    whole = min(n, n - math.ceil(SIMILARITY * n - 1e-9) + g)
-    least = 2 * SIMILARITY / (1 + SIMILARITY)  # words in common of two keys of one size, as a share of it
-    short = n - math.ceil(least * n - 1e-9) + g
-    at = np.array(list(combinations(range(whole), g)), np.int64).reshape(-1, g)
+    whole, short = _ends(n, g)
+    at = np.array(list(combinations(range(int(whole)), g)), np.int64).reshape(-1, g)
     return at, at[:, -1] < short
 
 
@@ -77,35 +89,73 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _rare_first(words: np.ndarray, hot: dict[int, int]) -> np.ndarray:
+    """Rows of words, the rarest first."""
+    keys = np.array(sorted(hot), np.int64)
+    df = np.zeros(words.shape, np.int64)
+    if len(keys):
+        counts = np.array([hot[k] for k in keys.tolist()], np.int64)
+        where = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+        df = np.where(keys[where] == words, counts[where], 0)
+    return np.take_along_axis(words, np.lexsort((words, df), axis=1), axis=1)
+
+
+def _by_size(lists: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, indices, words) of all lists of ``n`` words."""
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+    sizes = np.diff(np.concatenate([[0], ends]))
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        yield int(n), at, flat[(ends[at] - n)[:, None] + np.arange(n)]
+
+
+_GRAM_SCHEMA = "bucket int, gram bigint, rec bigint, batch bigint, n int, j int, short boolean, g byte"
+
+
+def _gram_rows(buckets: int, gram: np.ndarray, rec: np.ndarray, batch: np.ndarray, n: int, j: np.ndarray, short: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array((gram % np.uint64(buckets)).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(rec), pa.array(batch), pa.array(np.full(len(gram), n, np.int32)), pa.array(j.astype(np.int32)), pa.array(short), pa.array(g.astype(np.int8))],
+        names=["bucket", "gram", "rec", "batch", "n", "j", "short", "g"],
+    )
+
+
 def _grams(rows: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
     """(bucket, gram, rec, batch, n, j, short, g) of (rec, batch, words): n words, j the last position of the gram, g its words."""
-    keys = np.array(sorted(hot), np.int64)
-    counts = np.array([hot[k] for k in keys.tolist()], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rec, batch = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            lists = b.column(2)
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            sizes = np.diff(np.concatenate([[0], ends]))
-            for n in np.unique(sizes):
-                at = np.flatnonzero(sizes == n)
-                words = flat[(ends[at] - n)[:, None] + np.arange(n)]
-                df = np.zeros(words.shape, np.int64)
-                if len(keys):
-                    where = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-                    df = np.where(keys[where] == words, counts[where], 0)
-                words = np.take_along_axis(words, np.lexsort((words, df), axis=1), axis=1)
-                for g in _sizes(int(n)):
-                    place, short = _prefix(int(n), g)
-                    gram = _mix(words[:, place[:, 0]], words[:, place[:, -1]] if g == 2 else np.full(1, g)).reshape(-1)
-                    k, m = len(place), len(gram)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((gram % np.uint64(buckets)).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(rec[np.repeat(at, k)]), pa.array(batch[np.repeat(at, k)]), pa.array(np.full(m, n, np.int32)), pa.array(np.tile(place[:, -1], len(at)).astype(np.int32)), pa.array(np.tile(short, len(at))), pa.array(np.full(m, g, np.int8))],
-                        names=["bucket", "gram", "rec", "batch", "n", "j", "short", "g"],
-                    )
-
-    return rows.select("rec", "batch", "words").mapInArrow(run, "bucket int, gram bigint, rec bigint, batch bigint, n int, j int, short boolean, g byte")
+            for n, every, words in _by_size(b.column(2)):
+                words = _rare_first(words, hot)
+                for g in _sizes(n):
+                    place, short = _prefix(n, g)
+                    k = len(place)
+                    for lo in range(0, len(every), step := max(1, SLICE // k)):
+                        at, w = every[lo : lo + step], words[lo : lo + step]
+                        gram = _mix(w[:, place[:, 0]], w[:, place[:, -1]] if g == 2 else np.full(1, g)).reshape(-1)
+                        yield _gram_rows(buckets, gram, rec[np.repeat(at, k)], batch[np.repeat(at, k)], n, np.tile(place[:, -1], len(at)), np.tile(short, len(at)), np.full(len(gram), g))
+
+    return rows.select("rec", "batch", "words").mapInArrow(run, _GRAM_SCHEMA)
+
+
+def _longer(rows: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
+    """The grams of (rec, batch, words, gram, j, g) with one more of the words behind position j; columns as ``_grams`` has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rec, batch, gram, j, g = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5))
+            for n, every, words in _by_size(b.column(2)):
+                words = _rare_first(words, hot)
+                for lo in range(0, len(every), step := max(1, SLICE // n)):
+                    at, w = every[lo : lo + step], words[lo : lo + step]
+                    size = g[at].astype(np.int64) + 1
+                    whole, short = _ends(n, size)
+                    k = np.maximum(whole - 1 - j[at], 0)
+                    row = np.repeat(np.arange(len(at)), k)
+                    last = j[at][row] + 1 + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+                    yield _gram_rows(buckets, _mix(gram[at][row], w[row, last]), rec[at][row], batch[at][row], n, last, last < short[row], size[row])
+
+    return rows.select("rec", "batch", "words", "gram", "j", "g").mapInArrow(run, _GRAM_SCHEMA)
 
 
 class Segment:
@@ -119,33 +169,61 @@ class Segment:
         """The segment of both."""
         return Segment(np.concatenate([self.gram, other.gram]), np.concatenate([self.rest, other.rest]))
 
-    def search(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index in ``gram``, index in this segment) of all equal grams, by binary search."""
+    def search(self, gram: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(index in ``gram``, index in this segment) of all equal grams, by binary search; about ``SLICE`` at a time."""
         left, right = np.searchsorted(self.gram, gram, "left"), np.searchsorted(self.gram, gram, "right")
-        n = right - left
-        return np.repeat(np.arange(len(gram)), n), np.repeat(left, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        met = np.flatnonzero(right > left)
+        left, n = left[met], (right - left)[met]
+        ends, lo = np.cumsum(n), 0
+        while lo < len(met):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - n[lo] + SLICE, "right")))
+            k = n[lo:hi]
+            yield np.repeat(met[lo:hi], k), np.repeat(left[lo:hi], k) + (np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k))
+            lo = hi
 
 
 _REST = np.dtype([("rec", np.int64), ("n", np.int32), ("j", np.int32), ("short", bool), ("g", np.int8)])
 
 
+def _least(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Words in common from which keys of ``n`` and ``m`` words are near-equal."""
+    return np.ceil(SIMILARITY / (1 + SIMILARITY) * (n + m) - 1e-9)
+
+
 def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether two records can be similar if this gram is made of the first words they share."""
     n, m = a["n"].astype(np.int64), b["n"].astype(np.int64)
-    least = np.ceil(SIMILARITY / (1 + SIMILARITY) * (n + m) - 1e-9)
+    least = _least(n, m)
     room = a["g"] + np.minimum(n - 1 - a["j"], m - 1 - b["j"])
     smaller = np.where(n < m, a["short"], np.where(n > m, b["short"], a["short"] & b["short"]))
     return (a["rec"] != b["rec"]) & (a["g"] == b["g"]) & smaller & (room >= least) & (np.minimum(n, m) >= SIMILARITY * np.maximum(n, m) - 1e-9)
 
 
-def replay(rows: pa.Table) -> pa.Table:
-    """All pairs of records with a common gram in one bucket, its batches taken in order against the segments before."""
-    order = np.argsort(rows.column("batch").to_numpy(), kind="stable")
-    gram = rows.column("gram").to_numpy()[order].view(np.uint64)
-    rest = np.empty(len(order), _REST)
-    for name in _REST.names:
-        rest[name] = rows.column(name).to_numpy()[order]
-    batch = rows.column("batch").to_numpy()[order]
+class _Found:
+    """Pairs of records and how many matches each has, kept once."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.size = self.kept = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.parts.append(np.stack([np.minimum(a, b), np.maximum(a, b), np.ones(len(a), np.int64)]))
+        self.size += len(a)
+        if self.size > 2 * self.kept + SLICE:
+            self.once()
+
+    def once(self) -> np.ndarray:
+        """Columns a, b, coverage."""
+        x = np.concatenate(self.parts, axis=1) if self.parts else np.zeros((3, 0), np.int64)
+        x = x[:, np.lexsort((x[1], x[0]))]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(x[0]) != 0) | (np.diff(x[1]) != 0)])[: x.shape[1]])
+        x = np.stack([x[0, first], x[1, first], np.add.reduceat(x[2], first)]) if len(first) else x
+        self.parts, self.size, self.kept = [x], x.shape[1], x.shape[1]
+        return x
+
+
+def _match(gram: np.ndarray, rest: np.ndarray, batch: np.ndarray, found: _Found, done: bool = False) -> None:
+    """Add the matches of all rows, in order of batches, to ``found``; if ``done``, only of those that need no longer gram."""
     # whole batches, as many as make up a fair amount of work
     edges = np.flatnonzero(np.diff(batch)) + 1
     cuts, last = [0], 0
@@ -153,38 +231,87 @@ def replay(rows: pa.Table) -> pa.Table:
         if e - last >= BATCH_GRAMS:
             cuts.append(e)
             last = e
-    cuts.append(len(order))
-    segments: list[Segment] = []
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    cuts.append(len(gram))
+    segments: list[tuple[Segment, Segment]] = []
     for lo, hi in zip(cuts, cuts[1:]):
-        new = Segment(gram[lo:hi], rest[lo:hi])
-        for segment in [*segments, new]:
-            x, y = segment.search(new.gram)
-            if segment is new:
-                x, y = x[x < y], y[x < y]
-            a, b = new.rest[x], segment.rest[y]
-            ok = _possible(a, b)
-            a, b = a[ok], b[ok]
-            found.append((np.minimum(a["rec"], b["rec"]), np.maximum(a["rec"], b["rec"])))
+        short = rest["short"][lo:hi]
+        new = near, far = Segment(gram[lo:hi][short], rest[lo:hi][short]), Segment(gram[lo:hi][~short], rest[lo:hi][~short])
+        # the smaller of two records has the gram in its short prefix
+        for mine, other in [x for s in segments for x in ((near, s[0]), (near, s[1]), (far, s[0]))] + [(near, near), (far, near)]:
+            for x, y in other.search(mine.gram):
+                if mine is other:
+                    x, y = x[x < y], y[x < y]
+                a, b = mine.rest[x], other.rest[y]
+                ok = _possible(a, b)
+                if done:
+                    ok &= _least(a["n"].astype(np.int64), b["n"].astype(np.int64)) <= a["g"]
+                found.add(a["rec"][ok], b["rec"][ok])
         segments.append(new)
-        while len(segments) > 1 and len(segments[-2].gram) < 2 * len(segments[-1].gram):
-            segments[-2:] = [segments[-2].merge(segments[-1])]
-    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    pairs, coverage = np.unique(np.stack([a, b], axis=1), axis=0, return_counts=True)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "coverage": pa.array(coverage)})
+        size = lambda s: len(s[0].gram) + len(s[1].gram)
+        while len(segments) > 1 and size(segments[-2]) < 2 * size(segments[-1]):
+            segments[-2:] = [tuple(a.merge(b) for a, b in zip(*segments[-2:]))]
+
+
+def _replay(rows: pa.Table, crowd: int | None) -> pa.Table:
+    """Pairs of ``replay``. With ``crowd``, grams that more records have in their short prefix are not matched where a longer
+    one can tell; their rows come out as (rec, gram) with the position j and size g of the gram, which pairs have not."""
+    gram = rows.column("gram").to_numpy().view(np.uint64)
+    _, inverse, count = np.unique(gram, return_inverse=True, return_counts=True)
+    near = np.bincount(inverse, rows.column("short").to_numpy(zero_copy_only=False), len(count))
+    # a gram of one record or of no short prefix has no match
+    at = np.flatnonzero((count > 1)[inverse] & (near > 0)[inverse])
+    at = at[np.argsort(rows.column("batch").to_numpy()[at], kind="stable")]
+    crowded = (near > crowd)[inverse[at]] if crowd is not None else np.zeros(len(at), bool)
+    gram, batch = gram[at], rows.column("batch").to_numpy()[at]
+    rest = np.empty(len(at), _REST)
+    for name in _REST.names:
+        rest[name] = rows.column(name).to_numpy(zero_copy_only=False)[at]
+    found = _Found()
+    _match(gram[~crowded], rest[~crowded], batch[~crowded], found)
+    n, g = rest["n"].astype(np.int64), rest["g"]
+    done = crowded & (_least(n, np.ceil(SIMILARITY * n - 1e-9)) <= g)
+    _match(gram[done], rest[done], batch[done], found, done=True)
+    again = crowded & (n > g)
+    a, b, coverage = found.once()
+    none = np.zeros(again.sum(), np.int64)
+    pairs = pa.table({"a": a, "b": b, "coverage": coverage, "j": pa.nulls(len(a), pa.int32()), "g": pa.nulls(len(a), pa.int8())})
+    longer = pa.table({"a": rest["rec"][again], "b": gram[again].view(np.int64), "coverage": none, "j": rest["j"][again], "g": g[again]})
+    return pa.Table.from_batches([b for t in (pairs, longer) for b in t.to_batches(max_chunksize=SLICE)], pairs.schema)
 
 
-_PAIRS = "a bigint, b bigint, coverage bigint"
+def replay(rows: pa.Table) -> pa.Table:
+    """All pairs of records with a common gram in one bucket, its batches taken in order against the segments before."""
+    return _replay(rows, None)
 
 
-def _records(items: DataFrame) -> DataFrame:
-    """(id, batch, page, words) of each item once: hashes of the page and of the distinct words, null where there is none."""
+def replay_uncrowded(rows: pa.Table) -> pa.Table:
+    """As ``replay``, but of crowded grams the rows to be taken again with longer grams."""
+    return _replay(rows, CROWD)
+
+
+_PAIRS = "a bigint, b bigint, coverage bigint, j int, g byte"
+
+
+def _words() -> Column:
+    """Sorted hashes of the distinct words of the key; null for fewer than ``LEAST_WORDS``."""
     words = F.array_sort(F.transform(F.array_distinct(F.filter(F.split("title_key", " "), lambda w: w != "")), lambda w: F.xxhash64(w)))
+    return F.when(F.size(words) >= LEAST_WORDS, words)
+
+
+def _page() -> tuple[Column, Column, Column]:
+    """(there is a page, two hashes of it)."""
     page = page_key(F.col("canonical_url"))
-    base = items.where(F.col("id").isNotNull()).select(
-        "id", F.coalesce("run_id", F.lit(0).cast("bigint")).alias("batch"), F.when(page.isNotNull(), F.array(F.xxhash64(page), F.xxhash64(page, F.lit("page")))).alias("page"), F.when(F.size(words) >= LEAST_WORDS, words).alias("words")
-    )
-    return base.dropDuplicates(["id"])
+    return page.isNotNull(), F.xxhash64(page), F.xxhash64(page, F.lit("page"))
+
+
+def _batch() -> Column:
+    return F.coalesce("run_id", F.lit(0).cast("bigint"))
+
+
+def _records(items: DataFrame) -> DataFrame:
+    """(id, batch, page, words) of each item once: hashes of the page and of the distinct words, null where there is none."""
+    there, p, q = _page()
+    return items.where(F.col("id").isNotNull()).select("id", _batch().alias("batch"), F.when(there, F.array(p, q)).alias("page"), _words().alias("words")).dropDuplicates(["id"])
 
 
 def _alike() -> Column:
@@ -196,17 +323,24 @@ def _alike() -> Column:
 def near_pairs(items: DataFrame) -> DataFrame:
     """(id_a, id_b) of all items of the same page or with a near-equal key; ``items`` has id, canonical_url, title_key, run_id."""
     spark = items.sparkSession
-    base = cut(_records(items))
+    known = items.where(F.col("id").isNotNull())
     # one class per distinct set of words; its members share every similarity
-    classes = cut(base.where(F.col("words").isNotNull()).groupBy("words").agg(F.min("id").alias("rec"), F.min("batch").alias("batch"), F.sort_array(F.collect_set("id")).alias("ids")))
+    sets = known.select("id", _batch().alias("batch"), _words().alias("words")).where(F.col("words").isNotNull())
+    classes = cut(sets.groupBy("words").agg(F.min("batch").alias("batch"), F.sort_array(F.collect_set("id")).alias("ids")).withColumn("rec", F.monotonically_increasing_id()))
     tokens = classes.select(F.explode("words").alias("w"))
     n_tokens, n_records = classes.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.count(F.lit(1))).head()
     hot = {r[0]: r[1] for r in tokens.groupBy("w").count().where(F.col("count") > max(1, n_tokens // HOT)).collect()}
-    buckets = max(spark.sparkContext.defaultParallelism, 20 * n_records // BUCKET_GRAMS + 1)
-    grams = _grams(classes, hot, buckets).repartition(buckets, "bucket")
-    # the pairs of all buckets are read twice below and small next to the grams
-    matched = cut(grams.groupBy("bucket").applyInArrow(replay, _PAIRS))
-    candidates = matched.groupBy("a", "b").agg(F.sum("coverage").alias("coverage"))
+    matched = _matched(_grams, classes, hot, 20 * n_records)
+    parts = [matched.where("j IS NULL")]
+    longer = matched.where("j IS NOT NULL").select(F.col("a").alias("rec"), F.col("b").alias("gram"), "j", "g")
+    if again := longer.count():  # only the records met in the first round can be in a later one
+        met = cut(classes.select("rec", "batch", "words").join(longer.select("rec").distinct(), "rec", "left_semi"))
+        while again:
+            matched = _matched(_longer, met.join(longer, "rec"), hot, 4 * again)
+            parts.append(matched.where("j IS NULL"))
+            longer = matched.where("j IS NOT NULL").select(F.col("a").alias("rec"), F.col("b").alias("gram"), "j", "g")
+            again = longer.count()
+    candidates = reduce(DataFrame.unionByName, parts).groupBy("a", "b").agg(F.sum("coverage").alias("coverage"))
     both = candidates.join(classes.select(F.col("rec").alias("a"), F.col("words").alias("wa")), "a").join(classes.select(F.col("rec").alias("b"), F.col("words").alias("wb")), "b")
     verified = both.where(_alike()).select("a", "b")
     # the result expands classes, in joins that spread over the members and never gather a class in one task
@@ -214,13 +348,21 @@ def near_pairs(items: DataFrame) -> DataFrame:
     many = classes.where(F.size("ids") > 1).select(F.col("rec").alias("a"), F.col("rec").alias("b"))
     links = verified.unionByName(many)
     title_pairs = links.join(members.select(F.col("rec").alias("a"), F.col("id").alias("x")), "a").join(members.select(F.col("rec").alias("b"), F.col("id").alias("y")), "b")
-    title_pairs = title_pairs.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
-    paged = base.where(F.col("page").isNotNull())
-    page_pairs = paged.select("page", F.col("id").alias("x")).join(paged.select("page", F.col("id").alias("y")), "page").where("x < y")
+    title_pairs = title_pairs.where((F.col("a") != F.col("b")) & (F.col("x") != F.col("y")) | (F.col("x") < F.col("y")))
+    there, p, q = _page()
+    paged = known.where(there).select(p.alias("p"), q.alias("q"), "id").repartition("p", "q").dropDuplicates(["p", "q", "id"])
+    page_pairs = paged.withColumnRenamed("id", "x").join(paged.withColumnRenamed("id", "y"), ["p", "q"]).where("x < y")
     pairs = title_pairs.select("x", "y").unionByName(page_pairs.select("x", "y"))
     return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
+def _matched(make: Callable[[DataFrame, dict[int, int], int], DataFrame], rows: DataFrame, hot: dict[int, int], about: int) -> DataFrame:
+    """Pairs and rows to be taken again of the grams that ``make`` makes of ``rows``, ``about`` as many."""
+    buckets = max(rows.sparkSession.sparkContext.defaultParallelism, about // BUCKET_GRAMS + 1)
+    # the pairs of all buckets are read twice and small next to the grams
+    return cut(make(rows, hot, buckets).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(replay_uncrowded, _PAIRS))
+
+
 _GRAM_COLUMNS = ["bucket", "gram", "rec", "batch", "n", "j", "short", "g"]
 
 

@@ -108,3 +108,33 @@ def test_long_keys(spark):
     got = history.near_pairs(spark.createDataFrame([(*x, 0) for x in items], "id long, canonical_url string, title_key string, run_id long"))
     want = {(a[0], b[0]) for a in items for b in items if a[0] < b[0] and len(words(a[2]) & words(b[2])) >= 0.6 * len(words(a[2]) | words(b[2])) - 1e-12}
     assert {tuple(r) for r in got.collect()} == want and (200, 201) in want
+
+
+def test_a_crowded_gram_takes_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n, near = 8_000, 300
+    t = pa.table({"bucket": pa.array(np.zeros(n, np.int32)), "gram": pa.array(np.full(n, 7)), "rec": pa.array(np.arange(n)), "batch": pa.array(np.arange(n) // 2_000), "n": pa.array(np.full(n, 14, np.int32)), "j": pa.array(np.where(np.arange(n) < near, 4, 6).astype(np.int32)), "short": pa.array(np.arange(n) < near), "g": pa.array(np.full(n, 2, np.int8))})
+    tracemalloc.start()
+    try:
+        found = history.replay(t).num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == near * (near - 1) // 2 and peak < 100e6
+
+
+def test_crowded_grams_lose_no_pair(spark):
+    rng = random.Random(2)
+    # 12 words make few pairs of rarest words; words so common that four-word keys share their three rarest; long keys
+    vocab, common, long = [f"n{i}" for i in range(14)], [f"c{i}" for i in range(200)], [f"l{i}" for i in range(90)]
+    keys = [rng.sample(vocab, rng.randint(5, 9)) for _ in range(420)] + [["a", "b", "d", c] for c in common]
+    keys += [rng.sample(common, 50) for _ in range(900)] + [rng.sample(long, 70) for _ in range(150)]
+    items = [(i, f"https://a.test/{i}", " ".join(k), i // 40) for i, k in enumerate(keys)]
+    sets = [words(x[2]) for x in items]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j]) - 1e-12}
+    got = history.near_pairs(spark.createDataFrame(items, "id long, canonical_url string, title_key string, run_id long"))
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 30_000
